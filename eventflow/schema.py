@@ -87,3 +87,10 @@ def from_events(df: DataFrame, columns: dict[str, str], body_as: str | None = No
     if body_as:
         out.append(body_text().alias(body_as))
     return df.select(*out)
+
+
+def make_rows(events) -> list[tuple[dict, bytes]]:
+    """``(headers, body)`` pairs as rows of EVENT_SCHEMA; text is encoded, None is empty."""
+    return [
+        (dict(h or {}), b.encode() if isinstance(b, str) else bytes(b or b"")) for h, b in events
+    ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.functions.avro import event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import dump, header_and_text
 
@@ -20,19 +21,6 @@ def serialize_text(df: DataFrame, serializer: str = "TEXT") -> Column:
     raise ValueError(f"unknown serializer: {serializer}")
 
 
-def avro_available(spark) -> bool:
-    """Whether the Avro data source is on the classpath."""
-    try:
-        spark._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.avro.AvroFileFormat",
-            False,
-            spark._jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-        )
-        return True
-    except Exception:
-        return False
-
-
 def write_events(
     df: DataFrame,
     path: str,
@@ -46,11 +34,11 @@ def write_events(
 ) -> None:
     """Write events; the committer publishes files only when the job succeeds.
 
-    AVRO_EVENT writes the envelope as Avro when that source is present, else Parquet.
+    AVRO_EVENT writes the envelope as Avro when the session can, else Parquet.
     """
     if serializer == "AVRO_EVENT":
         out = df.select(*partition_by, "headers", "body").write
-        fmt = "avro" if avro_available(df.sparkSession) else "parquet"
+        fmt = event_file_format(df.sparkSession)
     else:
         out = df.select(*partition_by, serialize_text(df, serializer).alias("value")).write
         # An empty lineSep is not allowed, so bodies that bring their own newline

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventflow.functions.avro import LITERAL_HEADER, URL_HEADER, avro_codec, event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import split_delimited
-from eventflow.sinks.files import avro_available
 
 
 def delimited_rows(
@@ -77,9 +77,6 @@ def write_partitioned_table(
         out.saveAsTable(table)
 
 
-LITERAL_HEADER = "avro.schema.literal"
-URL_HEADER = "avro.schema.url"
-
 AVRO_TYPES = {
     # Primitive record types.
     "string": "string",
@@ -141,7 +138,7 @@ def decode_dataset(
     target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
     row = F.lit(None).cast(target)
     if codec == "avro":
-        if not avro_available(df.sparkSession):
+        if not avro_codec(df.sparkSession):
             raise RuntimeError("Avro bodies need the Avro package on the classpath")
         from pyspark.sql.avro.functions import from_avro
     for key, schema_text in writers.items():
@@ -192,4 +189,7 @@ def write_dataset(
         bad.write.mode("append").parquet(error_path)
     else:
         failure_policy(bad)
-    decoded.filter(F.col("row").isNotNull()).select("row.*").write.mode("append").format(fmt).save(path)
+    rows = decoded.filter(F.col("row").isNotNull()).select("row.*")
+    if fmt == "avro":
+        fmt = event_file_format(df.sparkSession)
+    rows.write.mode("append").format(fmt).save(path)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventflow.functions.text import decode_text
 from eventflow.schema import empty_headers, header_map
 from eventflow.sources.payloads import read_lines
 
@@ -35,6 +38,41 @@ def _open_dirs(path: Column, root: str, ignore: str) -> Column:
     return ~F.exists(dirs, lambda d: d.startswith(".") | d.rlike(f"^(?:{ignore})$"))
 
 
+def _scan(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", str(recursive).lower())
+        .load(path)
+    )
+
+
+def _name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def _taken(path: Column, root: str, include, ignore, suffix, recursive: bool) -> Column:
+    keep = candidate(_name(path), include, ignore, suffix)
+    return keep & _open_dirs(path, root, ignore) if recursive else keep
+
+
+def _empty_paths(scan: DataFrame) -> DataFrame:
+    """Files a scan lists but does not read because they hold no bytes.
+
+    Only names pass through the driver, which holds the scan's file index anyway.
+    """
+    listed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in scan.inputFiles()]
+    names = scan.sparkSession.createDataFrame(listed, "path string")
+    return names.join(scan.select("path"), "path", "left_anti")
+
+
+def _modified(spark: SparkSession, path: str) -> datetime:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return datetime.fromtimestamp(
+        fs.getFileStatus(target).getModificationTime() / 1000, timezone.utc
+    )
+
+
 def list_spool(
     spark: SparkSession,
     path: str,
@@ -45,21 +83,16 @@ def list_spool(
     recursive: bool = False,
 ) -> DataFrame:
     """Candidate files ``(path, name, modified, length)``. Listing reads no content."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-        .select(
-            F.col("path"),
-            F.element_at(F.split("path", "/"), -1).alias("name"),
-            F.col("modificationTime").alias("modified"),
-            F.col("length"),
-        )
+    scan = _scan(spark, path, recursive)
+    taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
+    files = scan.filter(taken).select(
+        "path", _name(F.col("path")).alias("name"), F.col("modificationTime").alias("modified"), "length"
     )
-    taken = candidate(F.col("name"), include, ignore, suffix)
-    if recursive:
-        taken = taken & _open_dirs(F.col("path"), path, ignore)
-    return files.filter(taken)
+    empty = [r.path for r in _empty_paths(scan).filter(taken).collect()]
+    if not empty:
+        return files
+    rows = [(p, p.rsplit("/", 1)[-1], _modified(spark, p), 0) for p in empty]
+    return files.unionByName(spark.createDataFrame(rows, files.schema))
 
 
 def consume_order(listing: DataFrame, order: str = "oldest", seed: int = 0) -> DataFrame:
@@ -103,31 +136,17 @@ def read_spool(
     LINE splits large files across tasks (the text source reads byte ranges), BLOB makes
     one event per file. An empty file gives one event with an empty body.
     """
-    listing = list_spool(
-        spark, path, include=include, ignore=ignore, suffix=suffix, recursive=recursive
-    )
+    scan = _scan(spark, path, recursive)
+    taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
+    headers = _file_headers(file_header, basename_header, F.col("path")).alias("headers")
+    empty = _empty_paths(scan).filter(taken).select(headers, F.lit(b"").alias("body"))
     if deserializer.upper() == "BLOB":
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", str(recursive).lower())
-            .load(path)
-        )
-        files = files.withColumn("name", F.element_at(F.split("path", "/"), -1))
-        taken = candidate(F.col("name"), include, ignore, suffix)
-        if recursive:
-            taken = taken & _open_dirs(F.col("path"), path, ignore)
-        return files.filter(taken).select(
-            _file_headers(file_header, basename_header, F.col("path")).alias("headers"),
-            F.col("content").alias("body"),
-        )
+        whole = scan.filter(taken).select(headers, F.col("content").alias("body"))
+        return whole.unionByName(empty)
     if deserializer.upper() != "LINE":
         raise ValueError("deserializer must be LINE or BLOB")
     lines = _text(spark.read, path, recursive, charset, decode_policy, include, ignore, suffix)
     events = _cut_lines(lines, max_line_length, charset, compat, file_header, basename_header)
-    empty = listing.filter(F.col("length") == 0).select(
-        _file_headers(file_header, basename_header, F.col("path")).alias("headers"),
-        F.lit(b"").alias("body"),
-    )
     return events.unionByName(empty)
 
 
@@ -168,12 +187,7 @@ def stream_spool(
 def _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix) -> DataFrame:
     options = {"recursiveFileLookup": str(recursive).lower(), "lineSep": "\n"}
     lines = reader.format("text").options(**options).load(path)
-    name = F.col("_metadata.file_name")
-    taken = candidate(name, include, ignore, suffix)
-    if recursive:
-        taken = taken & _open_dirs(F.col("_metadata.file_path"), path, ignore)
-    from eventflow.functions.text import decode_text
-
+    taken = _taken(F.col("_metadata.file_path"), path, include, ignore, suffix, recursive)
     value = decode_text(F.col("value").cast("binary"), decode_policy, charset)
     return lines.filter(taken).select(
         value.alias("value"), F.col("_metadata.file_path").alias("_path")

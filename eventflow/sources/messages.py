@@ -235,10 +235,16 @@ def batches_to_events(df: DataFrame, batch: str = "batch", keep: tuple[str, ...]
     return to_events(e, F.col("_e.headers"), F.col("_e.body"), keep=keep, binary=True)
 
 
-def events_to_batches(df: DataFrame, by: list[str], order_by: list[str]) -> DataFrame:
-    """Inverse of ``batches_to_events``: one array per key group (a bounded batch id)."""
-    item = F.struct(*order_by, F.col("headers"), F.col("body"))
-    rows = df.withColumn("headers", F.map_entries("headers")).groupBy(*by).agg(
+def events_to_batches(
+    df: DataFrame, by: list[str], position: str, size: int = 100
+) -> DataFrame:
+    """Inverse of ``batches_to_events``: arrays of at most ``size`` events per key.
+
+    ``position`` numbers the events of a key; a batch takes ``size`` consecutive
+    numbers, so no array grows with the data. Adds ``batch_no`` and ``batch``.
+    """
+    item = F.struct(position, F.map_entries("headers").alias("headers"), F.col("body"))
+    rows = df.groupBy(*by, F.floor(F.col(position) / F.lit(size)).alias("batch_no")).agg(
         F.array_sort(F.collect_list(item)).alias("batch")
     )
     return rows.withColumn(
