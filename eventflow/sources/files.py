@@ -187,10 +187,15 @@ def stream_spool(
 def _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix) -> DataFrame:
     options = {"recursiveFileLookup": str(recursive).lower(), "lineSep": "\n"}
     lines = reader.format("text").options(**options).load(path)
-    taken = _taken(F.col("_metadata.file_path"), path, include, ignore, suffix, recursive)
+    # This path is URL-encoded (unlike the one of a binary scan); '+' stands for itself.
+    encoded = F.col("_metadata.file_path")
+    plain = F.when(
+        F.contains(encoded, F.lit("%")), F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    ).otherwise(encoded)
+    taken = _taken(plain, path, include, ignore, suffix, recursive)
     value = decode_text(F.col("value").cast("binary"), decode_policy, charset)
     return lines.filter(taken).select(
-        value.alias("value"), F.col("_metadata.file_path").alias("_path")
+        value.alias("value"), plain.alias("_path")
     )
 
 

@@ -235,3 +235,13 @@ def test_log_and_null(spark):
     df = spark.createDataFrame(make_rows([({}, "x")]), EVENT_SCHEMA)
     assert W.log_events(df).first()[0].startswith("{ headers:{} body: 78 ")
     W.write_null(df)
+
+
+def test_file_names_with_blanks(spark, tmp_path):
+    put(tmp_path, "a b%20c.log", "x\n")
+    put(tmp_path, "e m.log", "")
+    got = S.read_spool(spark, str(tmp_path), include=r"(a b%20c|e m)\.log", file_header="f", basename_header="n")
+    assert sorted((r.headers["f"], r.headers["n"], bytes(r.body)) for r in got.collect()) == [
+        (str(tmp_path / "a b%20c.log"), "a b%20c.log", b"x"),
+        (str(tmp_path / "e m.log"), "e m.log", b""),
+    ]
