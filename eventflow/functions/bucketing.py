@@ -77,23 +77,20 @@ def round_down(ms: Column, unit: str, value: int = 1, tz: str | None = None) ->
     if n > ROUND_LIMITS[unit]:
         raise ValueError(f"{unit} rounding must be within 1..{ROUND_LIMITS[unit]}")
     zone = tz or session_zone()
-    ms = F.when(ms > 0, ms).otherwise(
+    step, cycle = {"second": (1000, 60), "minute": (60_000, 60), "hour": (3_600_000, 24)}[unit]
+    # Integer arithmetic on local millis: position in the enclosing unit, then in the step.
+    local = ms if is_utc(zone) else ms + zone_offset_ms(ms, zone)
+    within = F.pmod(local, F.lit(step * cycle))
+    rounded = ms - F.pmod(within, F.lit(step * n))
+    if unit == "hour" and not is_utc(zone):
+        # A clock change between the rounded and the given time shifts the wall hour.
+        hour = F.floor(within / F.lit(step))
+        got = F.pmod(F.floor((rounded + zone_offset_ms(rounded, zone)) / F.lit(step)), F.lit(24))
+        shift = F.pmod(hour - F.pmod(hour, F.lit(n)) - got + 12, F.lit(24)) - 12
+        rounded = (rounded + shift * step).cast("bigint")
+    return F.when(ms > 0, rounded).otherwise(
         F.raise_error(F.lit("timestamp must be positive")).cast("bigint")
     )
-    # Integer arithmetic on local millis: cheaper than calendar functions.
-    local = ms if is_utc(zone) else ms + zone_offset_ms(ms, zone)
-    step = {"second": 1000, "minute": 60_000, "hour": 3_600_000}[unit]
-    cycle = {"second": 60, "minute": 60, "hour": 24}[unit]
-    field = F.pmod(F.floor(local / F.lit(step)), F.lit(cycle))
-    excess = F.pmod(local, F.lit(step)) + F.pmod(field, F.lit(n)) * step
-    rounded = (ms - excess).cast("bigint")
-    if unit != "hour" or is_utc(zone):
-        return rounded
-    # A clock change between the rounded and the given time shifts the wall hour.
-    got = F.pmod(F.floor((rounded + zone_offset_ms(rounded, zone)) / F.lit(step)), F.lit(24))
-    want = field - F.pmod(field, F.lit(n))
-    shift = F.pmod(want - got + 12, F.lit(24)) - 12
-    return (rounded + shift * step).cast("bigint")
 
 
 def event_millis(headers: Column, name: str = "timestamp") -> Column:

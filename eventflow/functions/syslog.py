@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.schema import empty_body
+from eventflow.schema import empty_body, header_map
 
 # Message patterns, header names and status words.
 RFC5424 = (
@@ -61,7 +61,6 @@ def split_messages(df: DataFrame, raw: str, max_size: int = DEFAULT_SIZE) -> Dat
     """
     size = max(max_size, MIN_SIZE)
     text = F.col(raw).cast("string")
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x != "")
 
     def pieces(line: Column) -> Column:
         data = line.cast("binary")
@@ -71,7 +70,13 @@ def split_messages(df: DataFrame, raw: str, max_size: int = DEFAULT_SIZE) -> Dat
             lambda n: F.substr(data, n * size + 1, F.lit(size)),
         )
 
-    out = df.withColumn("message", F.explode(F.flatten(F.transform(lines, pieces))))
+    lines = F.filter(F.split(text, "\n", -1), lambda x: x != "")
+    # Most input is one short line already.
+    simple = (F.octet_length(text) <= size) & ~F.contains(text, F.lit("\n")) & (text != "")
+    parts = F.when(simple, F.array(text.cast("binary"))).otherwise(
+        F.flatten(F.transform(lines, pieces))
+    )
+    out = df.withColumn("message", F.explode(parts))
     return out.withColumn("cut", F.octet_length("message") >= size)
 
 
@@ -103,42 +108,53 @@ def parse_syslog(
     good = text.rlike(r"^<[0-9]{1,3}>")
     all_formats = [*formats, SyslogFormat(RFC5424), SyslogFormat(RFC3164)]
 
-    # One match per format: a single replace yields all five groups, the body last,
-    # so a bounded split recovers them even if the body holds the separator.
-    chosen = F.lit(None).cast("array<string>")
-    which = F.lit(None).cast("int")
-    for i in reversed(range(len(all_formats))):
-        full = f"^(?:{all_formats[i].regex})$"
-        hit = good & text.rlike(full)
-        groups = F.split(F.regexp_replace(text, full, SEP.join("$%d" % g for g in range(1, 6))),
-                         SEP, 5)
-        chosen = F.when(hit, groups).otherwise(chosen)
-        which = F.when(hit, F.lit(i)).otherwise(which)
+    # One regex evaluation per format: the replacement starts with a separator and the
+    # format number, which no message does (they start with '<'), and puts the five
+    # groups behind, body last, so a bounded split is exact whatever the body holds.
+    tagged = text
+    for i, fmt in enumerate(all_formats):
+        groups = SEP.join(f"${g}" for g in range(1, 6))
+        replaced = F.regexp_replace(tagged, f"^(?:{fmt.regex})$", f"{SEP}{i}{SEP}{groups}")
+        # Built-in formats need a leading '<', so they cannot touch a tagged text.
+        guard = 0 < i < len(formats)
+        tagged = F.when(tagged.startswith(SEP), tagged).otherwise(replaced) if guard else replaced
+    # Small projections one after another: each compiles to a method the JIT accepts.
     staged = cut.select(
-        *carried, "message", "cut", good.alias("good"), chosen.alias("m"), which.alias("fmt")
+        *carried, "message", "cut", good.alias("good"), F.when(good, tagged).alias("t")
+    ).select(
+        *carried, "message", "cut", "good",
+        F.when(F.col("t").startswith(SEP), F.split("t", SEP, 7)).alias("m"),
     )
 
     def group(i: int) -> Column:
-        value = F.col("m")[i]
-        return F.when(value != "", value)
+        return F.nullif(F.col("m")[i + 2], F.lit(""))
 
-    stamp = group(2)
-    millis = F.lit(None).cast("bigint")
     n = len(formats)
-    parsed = [_user_millis(stamp, f) for f in formats]
-    parsed += [_rfc5424_millis(stamp, compat), _rfc3164_millis(stamp, now, compat)]
-    for i in reversed(range(n + 2)):
-        millis = F.when(F.col("fmt") == i, parsed[i]).otherwise(millis)
+    number = F.col("m")[1]
+    stamp = F.col("stamp")
+    when = F.when(number == str(n), _rfc5424_time(stamp, compat)).when(
+        number == str(n + 1), _rfc3164_time(stamp, now)
+    )
+    for i, fmt in enumerate(formats):
+        when = when.when(number == str(i), _user_time(stamp, fmt))
+    staged = staged.select(
+        *carried, "message", "cut", "good", "m", group(2).alias("stamp")
+    ).select(
+        *carried, "message", "cut", "good", "m", "stamp",
+        (number == str(n + 1)).alias("yearless"), when.alias("at"),
+    )
+    rolled = _roll_year(F.col("at"), now, compat)
+    millis = F.unix_millis(F.when(F.col("yearless"), rolled).otherwise(F.col("at")))
 
-    priority = F.regexp_extract(F.col("message").cast("string"), r"^<([0-9]{1,3})>", 1)
-    code = F.when(F.col("good"), priority.try_cast("int")).otherwise(F.lit(0))
+    priority = F.substring_index(F.substring(F.col("message").cast("string"), 2, 4), ">", 1)
+    code = F.when(F.col("good"), priority.cast("int")).otherwise(F.lit(0))
     body = group(4)
     if keep is not None and "all" not in keep:
         blank = "null" if compat else "-"
         if "hostname" in keep:
-            body = F.concat(F.coalesce(group(3), F.lit(blank)), F.lit(" "), F.col("m")[4])
+            body = F.concat(F.coalesce(group(3), F.lit(blank)), F.lit(" "), F.col("m")[6])
         else:
-            body = F.col("m")[4]
+            body = F.col("m")[6]
         if "timestamp" in keep:
             body = F.concat(F.coalesce(stamp, F.lit(blank)), F.lit(" "), body)
         if "version" in keep:
@@ -152,51 +168,57 @@ def parse_syslog(
 
     status = F.when(~F.col("good"), F.lit(INVALID)).when(F.col("cut"), F.lit(INCOMPLETE))
     entries = {
-        FACILITY: F.floor(code / F.lit(8)),
+        FACILITY: F.shiftright(code, 3),
         SEVERITY: F.pmod(code, F.lit(8)),
         "priority": group(0),
         "version": group(1),
         "timestamp": millis,
         "host": group(3),
-        status_header: status,
         **(extra_headers or {}),
     }
-    pairs = [p for k, v in entries.items() for p in (F.lit(k), v.cast("string"))]
-    headers = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    headers = header_map(entries, drop_null=True)
+    flagged = F.map_concat(headers, F.create_map(F.lit(status_header), status))
+    headers = F.when(status.isNull(), headers).otherwise(flagged)
     return staged.select(
         *carried, headers.alias("headers"), F.coalesce(payload, empty_body()).alias("body")
     )
 
 
-def _user_millis(stamp: Column, fmt: SyslogFormat) -> Column:
+def _user_time(stamp: Column, fmt: SyslogFormat) -> Column:
     if fmt.search is not None and fmt.replace is not None:
         stamp = F.regexp_replace(stamp, fmt.search, fmt.replace)
     if fmt.date_format is None:
-        return F.lit(None).cast("bigint")
-    return F.unix_millis(F.try_to_timestamp(stamp, F.lit(fmt.date_format)))
+        return F.lit(None).cast("timestamp")
+    return F.try_to_timestamp(stamp, F.lit(fmt.date_format))
 
 
-def _rfc5424_millis(stamp: Column, compat: bool) -> Column:
-    honest = F.unix_millis(stamp.try_cast("timestamp"))
+def _rfc5424_time(stamp: Column, compat: bool) -> Column:
+    honest = stamp.try_cast("timestamp")
     if not compat:
         return honest
-    # First format that fits ignores whatever follows the fraction, and reads the
-    # fraction as a count of milliseconds.
+    # The first date format that fits ignores whatever follows the fraction, and reads
+    # the fraction as a count of milliseconds.
     digits = F.regexp_extract(stamp, r"\.(\d{1,3})", 1)
     local = F.unix_millis(F.substring(stamp, 1, 19).try_cast("timestamp"))
-    return F.when(digits != "", local + digits.try_cast("bigint")).otherwise(honest)
+    counted = F.timestamp_millis(local + digits.try_cast("bigint"))
+    return F.when(digits != "", counted).otherwise(honest)
+
 
+def _rfc3164_time(stamp: Column, now: Column) -> Column:
+    dated = F.concat(F.year(now).cast("string"), F.replace(stamp, F.lit("  "), F.lit(" ")))
+    return F.try_to_timestamp(dated, F.lit("yyyyMMM d HH:mm:ss"))
 
-def _rfc3164_millis(stamp: Column, now: Column, compat: bool) -> Column:
-    dated = F.concat(F.year(now).cast("string"), F.regexp_replace(stamp, "  ", " "))
-    ts = F.try_to_timestamp(dated, F.lit("yyyyMMM d HH:mm:ss"))
+
+def _roll_year(at: Column, now: Column, compat: bool) -> Column:
+    """Move a stamp dated in the current year to within 11 months back, 1 month ahead."""
     one_year = F.expr("INTERVAL '1' YEAR")
-    ahead = (ts > now) & (ts - F.expr("INTERVAL '1' MONTH") > now)
-    behind = (ts < now) & (ts + F.expr("INTERVAL '11' MONTH") < now)
-    rolled = F.when(ahead, ts - one_year).when(
-        behind, (ts - one_year) if compat else (ts + one_year)
-    ).otherwise(ts)
-    return F.unix_millis(rolled)
+    ahead = at - F.expr("INTERVAL '1' MONTH") > now
+    behind = at + F.expr("INTERVAL '11' MONTH") < now
+    return (
+        F.when(ahead, at - one_year)
+        .when(behind, (at - one_year) if compat else (at + one_year))
+        .otherwise(at)
+    )
 
 
 def typed_syslog(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from eventflow.functions import headers as hdr
+from eventflow.schema import is_utf8
 
 REPLACEMENT = "�"
 
@@ -13,7 +14,7 @@ REPLACEMENT = "�"
 def decode_text(body: Column, policy: str = "FAIL", charset: str = "UTF-8") -> Column:
     """Bytes to text. FAIL raises on bad input, REPLACE marks it, IGNORE drops it."""
     policy = policy.upper()
-    utf8 = charset.upper().replace("-", "") == "UTF8"
+    utf8 = is_utf8(charset)
     if policy == "FAIL":
         if utf8:
             return F.when(body.isNotNull(), F.validate_utf8(body.cast("string")))

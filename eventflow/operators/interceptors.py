@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.functions import headers as hdr
-from eventflow.schema import body_text, empty_body
+from eventflow.schema import body_bytes, body_text, empty_body
 
 Step = Callable[[DataFrame], DataFrame]
 H = "headers"
@@ -102,7 +102,7 @@ def search_replace(pattern: str, replacement: str | None = "", charset: str = "U
 
     def step(df: DataFrame) -> DataFrame:
         text = F.regexp_replace(body_text(charset), pattern, replacement or "")
-        return df.withColumn("body", F.encode(text, charset))
+        return df.withColumn("body", body_bytes(text, charset))
 
     return step
 

@@ -43,7 +43,7 @@ def pack_batches(
         raise ValueError("event limit out of range")
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if lane is None:
-        lane = F.pmod(F.xxhash64(*order_by), F.lit(lanes or tasks))
+        lane = F.pmod(F.xxhash64(*order_by), F.lit(lanes or 4 * tasks))
     keyed = F.concat(F.lit("pk_"), F.pmod(F.xxhash64(*order_by), F.lit(2**31 - 1)))
     if key_from_event:
         keyed = F.when(F.map_contains_key("headers", "key"), F.col("headers")["key"]).otherwise(keyed)

@@ -54,6 +54,20 @@ def replicate(df: DataFrame, channels: list[str], optional: list[str] = ()) -> D
     return explode_channels(df, _array(required), _array(best_effort))
 
 
+def _tables(mapping, default, optional, channels):
+    """Checked channel lists: (default, required by value, optional by value)."""
+    fallback = channel_names(default, channels)
+    required = {v: channel_names(names, channels) for v, names in mapping.items()}
+    for v, names in required.items():
+        if not names:
+            raise ValueError(f"no channel configured for header value {v!r}")
+    extra = {}
+    for v, names in (optional or {}).items():
+        taken = required.get(v) or fallback
+        extra[v] = [c for c in channel_names(names, channels) if c not in taken]
+    return fallback, required, extra
+
+
 def multiplex_columns(
     value: Column,
     mapping: dict[str, str | list[str]],
@@ -66,26 +80,16 @@ def multiplex_columns(
     Blank or unmapped values take the default list. An optional list loses the
     channels already required for the same value.
     """
-    fallback = channel_names(default, channels)
-    required = {v: channel_names(names, channels) for v, names in mapping.items()}
-    for v, names in required.items():
-        if not names:
-            raise ValueError(f"no channel configured for header value {v!r}")
-    extra = {}
-    for v, names in (optional or {}).items():
-        taken = required.get(v) or fallback
-        extra[v] = [c for c in channel_names(names, channels) if c not in taken]
+    fallback, required, extra = _tables(mapping, default, optional, channels)
 
-    def lookup(table: dict[str, list[str]], otherwise: Column, skip_blank: bool) -> Column:
+    def lookup(table: dict[str, list[str]], otherwise: Column) -> Column:
         if not table:
             return otherwise
         pairs = [p for v, names in table.items() for p in (F.lit(v), _array(names))]
-        found = F.create_map(*pairs)[value]
-        if skip_blank:
-            found = F.when(F.trim(value) != "", found)
-        return F.coalesce(found, otherwise)
+        return F.coalesce(F.create_map(*pairs)[value], otherwise)
 
-    return lookup(required, _array(fallback), True), lookup(extra, _array([]), False)
+    mapped = {v: names for v, names in required.items() if v.strip()}
+    return lookup(mapped, _array(fallback)), lookup(extra, _array([]))
 
 
 def multiplex(
@@ -96,10 +100,31 @@ def multiplex(
     optional: dict[str, str | list[str]] | None = None,
     channels: list[str] | None = None,
 ) -> DataFrame:
-    required, extra = multiplex_columns(
-        F.col("headers")[header], mapping, default, optional, channels
-    )
-    return explode_channels(df, required, extra)
+    """Route by a header value: one row per (event, channel).
+
+    The routes of every value are known up front, so the plan holds one constant table
+    from value to routes and a single lookup per event.
+    """
+    fallback, required, extra = _tables(mapping, default, optional, channels)
+
+    def routes(value: str | None) -> str:
+        known = required.get(value) if value is not None and value.strip() else None
+        items = [(c, "true") for c in known or fallback]
+        items += [(c, "false") for c in extra.get(value, [])]
+        made = [f"named_struct('channel', {_quoted(c)}, 'required', {r})" for c, r in items]
+        empty = "cast(array() as array<struct<channel:string,required:boolean>>)"
+        return f"array({', '.join(made)})" if made else empty
+
+    table = ", ".join(f"{_quoted(v)}, {routes(v)}" for v in dict.fromkeys([*required, *extra]))
+    chosen = F.expr(routes(None))
+    if table:
+        chosen = F.coalesce(F.expr(f"map({table})")[F.col("headers")[header]], chosen)
+    out = df.withColumn("_route", F.explode(chosen))
+    return out.select(*df.columns, F.col("_route.channel"), F.col("_route.required"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def round_robin(

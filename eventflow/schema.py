@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,10 @@ EVENT_SCHEMA = T.StructType(
 JSON_EVENTS_DDL = "array<struct<headers:map<string,string>,body:string>>"
 
 
+def is_utf8(charset: str) -> bool:
+    return charset.upper().replace("-", "") == "UTF8"
+
+
 def empty_body() -> Column:
     return F.lit(b"")
 
@@ -35,14 +42,21 @@ def header_map(entries: dict[str, Column], drop_null: bool = False) -> Column:
         return empty_headers()
     pairs = [part for k, v in entries.items() for part in (F.lit(k), v.cast("string"))]
     built = F.create_map(*pairs)
-    return F.map_filter(built, lambda _, v: v.isNotNull()) if drop_null else built
+    if not drop_null:
+        return built
+    # Lambdas are interpreted, so take them only for rows that do have a null.
+    complete = reduce(and_, [v.isNotNull() for v in entries.values()])
+    return F.when(complete, built).otherwise(F.map_filter(built, lambda _, v: v.isNotNull()))
 
 
 def body_bytes(body: Column | None, charset: str = "UTF-8", binary: bool = False) -> Column:
     """Event body from text (encoded) or bytes; null becomes the empty body."""
     if body is None:
         return empty_body()
-    return F.coalesce(body if binary else F.encode(body, charset), empty_body())
+    if not binary:
+        # A cast keeps the bytes as they are; encode() would go through a Java string.
+        body = body.cast("binary") if is_utf8(charset) else F.encode(body, charset)
+    return F.coalesce(body, empty_body())
 
 
 def to_events(
@@ -76,7 +90,7 @@ def has_header(name: str, headers: str = "headers") -> Column:
 
 def body_text(charset: str = "UTF-8", body: str = "body") -> Column:
     """Body as text; malformed input raises (see ``functions.text`` for policies)."""
-    if charset.upper().replace("-", "") == "UTF8":
+    if is_utf8(charset):
         return F.col(body).cast("string")
     return F.decode(F.col(body), charset)
 

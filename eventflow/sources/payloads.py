@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventflow.functions import headers as hdr
 from eventflow.functions.text import split_lines
-from eventflow.schema import JSON_EVENTS_DDL, body_bytes, empty_body, empty_headers, to_events
+from eventflow.schema import JSON_EVENTS_DDL, body_bytes, empty_headers, is_utf8, to_events
 
 JSON_CHARSETS = ("UTF-8", "UTF-16", "UTF-32")
 
@@ -70,12 +70,12 @@ def read_lines(
     headers = F.col("headers") if "headers" in df.columns else empty_headers()
     content = F.col(text)
     if dict(df.dtypes)[text] == "binary":
-        content = F.decode(content, charset)
+        content = content.cast("string") if is_utf8(charset) else F.decode(content, charset)
     return df.select(
         *carried,
         headers.alias("headers"),
         F.posexplode(split_lines(content, max_length, compat)).alias("line_no", "_line"),
-    ).select(*carried, "line_no", "headers", F.encode("_line", charset).alias("body"))
+    ).select(*carried, "line_no", "headers", body_bytes(F.col("_line"), charset).alias("body"))
 
 
 def frame_lines(
@@ -128,7 +128,7 @@ def decode_event_format(df: DataFrame, value: str = "value") -> DataFrame:
         value,
         F.struct(
             parsed["headers"].alias("headers"),
-            F.coalesce(F.encode(parsed["body"], "UTF-8"), empty_body()).alias("body"),
+            body_bytes(parsed["body"]).alias("body"),
         ),
     )
 

@@ -13,6 +13,7 @@ import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ from eventflow.schema import EVENT_SCHEMA
 FORMAT = "growing_files"
 BYTE_OFFSET_HEADER = "byteoffset"  # fixed value
 BLOCK = 1 << 16
+READ_BYTES = 1 << 22
+NEWLINE, RETURN = 10, 13
 DEFAULT_RANGE = 64 << 20
 DEFAULT_IDLE_SECONDS = 120.0
 
@@ -176,72 +179,76 @@ def _plan(settings: _Settings, known: dict, target: dict) -> list[ByteRange]:
     return ranges
 
 
+def _line_batch(data: bytes, base: int, stop: int, fixed: dict, byte_offset: bool):
+    """Complete lines of ``data`` that start before ``stop``, as one Arrow batch.
+
+    ``base`` is the file offset of ``data``. Line ends are removed with array operations.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    ends = np.flatnonzero(raw == NEWLINE)
+    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)
+    count = int(np.searchsorted(starts, stop - base))
+    if count == 0:
+        return None
+    starts, ends = starts[:count], ends[:count]
+    raw = raw[: ends[-1] + 1]
+    keep = raw != NEWLINE
+    returns = ends[ends > 0] - 1
+    keep[returns[raw[returns] == RETURN]] = False
+    offsets = np.concatenate([[0], np.cumsum(keep)[ends]]).astype(np.int64)
+    body = pa.Array.from_buffers(
+        pa.large_binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(raw[keep])]
+    ).cast(pa.binary())
+    keys, values = list(fixed), [pa.array(np.full(count, v, dtype=object), pa.string()) for v in fixed.values()]
+    if byte_offset:
+        keys.append(BYTE_OFFSET_HEADER)
+        values.append(pa.array(starts + base).cast(pa.string()))
+    width = len(keys)
+    order = np.arange(count * width).reshape(width, count).T.ravel()
+    items = pa.concat_arrays(values).take(pa.array(order)) if width else pa.array([], pa.string())
+    names = pa.array(np.tile(np.array(keys, dtype=object), count), pa.string())
+    headers = pa.MapArray.from_arrays(
+        pa.array(np.arange(count + 1, dtype=np.int32) * width), names, items
+    )
+    return pa.RecordBatch.from_arrays([headers, body], names=["headers", "body"])
+
+
 def _read_range(part: ByteRange, byte_offset: bool) -> Iterator[pa.RecordBatch]:
     """Lines that start in ``[start, stop)``; the last one may reach past ``stop``."""
     fs, _ = pafs.FileSystem.from_uri(part.headers["u"])
-    base = list(part.headers["h"].items())
-    rows: list[tuple[list, bytes]] = []
-    held = 0
-
-    def emit(line: bytes, at: int) -> None:
-        if line.endswith(b"\r\n"):
-            line = line[:-2]
-        elif line.endswith(b"\n"):
-            line = line[:-1]
-        extra = [(BYTE_OFFSET_HEADER, str(at))] if byte_offset else []
-        rows.append((base + extra, line))
-
-    def flush() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays(
-            [
-                pa.array([r[0] for r in rows], pa.map_(pa.string(), pa.string())),
-                pa.array([r[1] for r in rows], pa.binary()),
-            ],
-            names=["headers", "body"],
-        )
-        rows.clear()
-        return batch
-
+    fixed = part.headers["h"]
     with fs.open_input_file(part.path) as handle:
-        position = part.start
         skip = False
         if part.start > part.first:
             # A line that began in an earlier range belongs to that range.
             handle.seek(part.start - 1)
             skip = handle.read(1) != b"\n"
-        handle.seek(position)
-        pending, line_at, offset = [], position, position
-        done = False
-        while not done and offset < part.end:
-            block = handle.read(min(BLOCK * 16, part.end - offset))
+        handle.seek(part.start)
+        offset = base = part.start  # next byte to read, first byte not yet turned into rows
+        held: list[bytes] = []
+        while offset < part.end and base < part.stop:
+            block = handle.read(min(READ_BYTES, part.end - offset))
             if not block:
                 break
-            cursor = 0
-            while cursor < len(block):
-                nl = block.find(b"\n", cursor)
-                if nl < 0:
-                    if not skip:
-                        pending.append(block[cursor:])
-                    break
-                if skip:
-                    skip = False
-                else:
-                    emit(b"".join(pending) + block[cursor : nl + 1], line_at)
-                    held += nl + 1 - cursor
-                pending = []
-                cursor = nl + 1
-                line_at = offset + cursor
-                if line_at >= part.stop:
-                    done = True
-                    break
-                if held >= BLOCK * 64 or len(rows) >= 10_000:
-                    yield flush()
-                    held = 0
             offset += len(block)
-        if not done and pending and not skip and line_at < part.stop:
-            emit(b"".join(pending), line_at)  # idle file: its unfinished line is due
-    if rows:
-        yield flush()
+            cut = block.rfind(b"\n") + 1
+            if not cut:
+                held.append(block)
+                continue
+            data = b"".join([*held, block[:cut]])
+            held = [block[cut:]]
+            if skip:
+                first = data.find(b"\n") + 1
+                data, base, skip = data[first:], base + first, False
+            if data and base < part.stop:
+                batch = _line_batch(data, base, part.stop, fixed, byte_offset)
+                if batch is not None:
+                    yield batch
+            base += len(data)
+        rest = b"".join(held)
+        if rest and not skip and base < part.stop and offset >= part.end:
+            # Idle file: its unfinished line is due.
+            yield _line_batch(rest + b"\n", base, part.stop, fixed, byte_offset)
 
 
 class GrowingFiles(DataSource):

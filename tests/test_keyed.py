@@ -115,7 +115,7 @@ def test_packing_spreads_a_hot_key(spark):
     )
     out = K.pack_batches(df, ["id"], key_from_event=True)
     counts = [r["count"] for r in out.groupBy("lane").count().collect()]
-    assert len(counts) == 8 and max(counts) < 1000
+    assert len(counts) == 32 and max(counts) < 400
     assert out.select("partition_key").distinct().collect()[0][0] == "same"
 
 
