@@ -90,7 +90,7 @@ def spool_stream(spark, sf):
 def tail_lines(spark, sf):
     folder = _spool(spark, sf, "tail")
     events = read_tail(
-        spark, {"docs": (folder, r"part-.*[.]txt")}, range_bytes=65_536, streaming=False
+        spark, {"docs": (folder, r"part-.*[.]txt")}, range_bytes=1 << 20, streaming=False
     )
     return events.groupBy(body_text().alias("body")).agg(F.count(F.lit(1)).alias("n"))
 
