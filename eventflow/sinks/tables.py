@@ -171,9 +171,10 @@ def write_dataset(
     fmt: str = "parquet",
     failure_policy: str | Callable[[DataFrame], None] = "retry",
     error_path: str | None = None,
+    mode: str = "append",
     **options,
 ) -> None:
-    """Append decodable events as typed rows; treat the rest by policy.
+    """Write decodable events as typed rows; treat the rest by policy.
 
     ``retry`` raises before anything is written, ``save`` appends the original events
     to the error dataset, a callable receives them.
@@ -192,4 +193,19 @@ def write_dataset(
     rows = decoded.filter(F.col("row").isNotNull()).select("row.*")
     if fmt == "avro":
         fmt = event_file_format(df.sparkSession)
-    rows.write.mode("append").format(fmt).save(path)
+    rows.write.mode(mode).format(fmt).save(path)
+
+
+def dataset_writer(
+    path: str, table_schema: Callable[[], str], writers: dict[str, str], **options
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch writer that reads the table schema anew for every batch, so a changed
+    schema applies from the next batch on."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        target = f"{path.rstrip('/')}/batch_id={batch_id}"
+        write_dataset(
+            df, target, RecordSchema.parse(table_schema()), writers, mode="overwrite", **options
+        )
+
+    return write

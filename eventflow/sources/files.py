@@ -126,6 +126,7 @@ def read_spool(
     deserializer: str = "LINE",
     max_line_length: int = 2048,
     charset: str = "UTF-8",
+    output_charset: str = "UTF-8",
     file_header: str | None = None,
     basename_header: str | None = None,
     decode_policy: str = "FAIL",
@@ -134,7 +135,8 @@ def read_spool(
     """Events of all candidate files.
 
     LINE splits large files across tasks (the text source reads byte ranges), BLOB makes
-    one event per file. An empty file gives one event with an empty body.
+    one event per file. An empty file gives one event with an empty body. Lines end at
+    the byte 0x0A, so ``charset`` must be ASCII-compatible.
     """
     scan = _scan(spark, path, recursive)
     taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
@@ -146,7 +148,9 @@ def read_spool(
     if deserializer.upper() != "LINE":
         raise ValueError("deserializer must be LINE or BLOB")
     lines = _text(spark.read, path, recursive, charset, decode_policy, include, ignore, suffix)
-    events = _cut_lines(lines, max_line_length, charset, compat, file_header, basename_header)
+    events = _cut_lines(
+        lines, max_line_length, output_charset, compat, file_header, basename_header
+    )
     return events.unionByName(empty)
 
 
@@ -164,6 +168,7 @@ def stream_spool(
     max_files_per_trigger: int | None = None,
     max_line_length: int = 2048,
     charset: str = "UTF-8",
+    output_charset: str = "UTF-8",
     file_header: str | None = None,
     basename_header: str | None = None,
     decode_policy: str = "FAIL",
@@ -181,7 +186,9 @@ def stream_spool(
     elif archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     lines = _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix)
-    return _cut_lines(lines, max_line_length, charset, compat, file_header, basename_header)
+    return _cut_lines(
+        lines, max_line_length, output_charset, compat, file_header, basename_header
+    )
 
 
 def _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix) -> DataFrame:

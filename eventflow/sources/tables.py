@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 
 import pyarrow.fs as pafs
@@ -103,6 +104,36 @@ def advance(status: ReadStatus, rows: DataFrame, order_by: str | None = None) ->
     return ReadStatus(**{**asdict(status), "last": str(int(status.last) + rows.count())})
 
 
+def poll(
+    spark: SparkSession,
+    url: str,
+    status_path: str,
+    expected: ReadStatus,
+    process: Callable[[DataFrame], None],
+    *,
+    order_by: str | None = None,
+    max_rows: int = DEFAULT_ROWS,
+    read: Callable[..., DataFrame] = read_jdbc_incremental,
+    **options,
+) -> ReadStatus:
+    """Read the next rows, process them, then move the saved position.
+
+    The rows are held while they are processed and counted, so the database is asked
+    once; if processing fails the position stays and the rows come again.
+    """
+    status = load_status(status_path, expected)
+    rows = read(spark, url, status, order_by=order_by, max_rows=max_rows, **options).persist()
+    try:
+        if rows.isEmpty():
+            return status
+        process(rows)
+        moved = advance(status, rows, None if status.query is None else order_by)
+        save_status(status_path, moved)
+        return moved
+    finally:
+        rows.unpersist()
+
+
 def read_jdbc_whole(
     spark: SparkSession, url: str, table: str, column: str, lower, upper, parts: int,
     properties: dict[str, str] | None = None,

@@ -45,6 +45,11 @@ class ByteRange(InputPartition):
     headers: dict
 
 
+def _filesystem(uri: str):
+    """(file system, path) of a folder or file; Spark's S3 scheme names are accepted."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
 NO_RANGE = ByteRange("", 0, 0, 0, 0, {"u": "", "h": {}})
 
 
@@ -70,7 +75,7 @@ class _Settings:
         """Matching files of every group, oldest first."""
         found = {}
         for group, (directory, pattern) in self.groups.items():
-            fs, base = pafs.FileSystem.from_uri(directory)
+            fs, base = _filesystem(directory)
             for info in fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True)):
                 if info.type == pafs.FileType.File and pattern.fullmatch(info.base_name):
                     found.setdefault(
@@ -136,7 +141,7 @@ def _begin(f: dict, known: dict, skip_to_end: bool) -> tuple[int, int]:
 
 def _last_line_end(path: str, uri: str, begin: int, size: int) -> int:
     """Offset after the last newline in ``[begin, size)``, or ``begin``."""
-    fs, _ = pafs.FileSystem.from_uri(uri)
+    fs, _ = _filesystem(uri)
     with fs.open_input_file(path) as handle:
         stop = size
         while stop > begin:
@@ -215,7 +220,7 @@ def _line_batch(data: bytes, base: int, stop: int, fixed: dict, byte_offset: boo
 
 def _read_range(part: ByteRange, byte_offset: bool) -> Iterator[pa.RecordBatch]:
     """Lines that start in ``[start, stop)``; the last one may reach past ``stop``."""
-    fs, _ = pafs.FileSystem.from_uri(part.headers["u"])
+    fs, _ = _filesystem(part.headers["u"])
     fixed = part.headers["h"]
     with fs.open_input_file(part.path) as handle:
         skip = False
@@ -295,7 +300,7 @@ class GrowingFilesStreamReader(DataSourceStreamReader):
     def _saved(self) -> dict:
         """Positions of the last committed batch, if a state file is configured."""
         if self.settings.state_path:
-            fs, at = pafs.FileSystem.from_uri(self.settings.state_path)
+            fs, at = _filesystem(self.settings.state_path)
             if fs.get_file_info(at).type == pafs.FileType.File:
                 with fs.open_input_stream(at) as handle:
                     return parse_positions(handle.read().decode())
@@ -324,7 +329,7 @@ class GrowingFilesStreamReader(DataSourceStreamReader):
 
     def commit(self, end: dict) -> None:
         if self.settings.state_path:
-            fs, at = pafs.FileSystem.from_uri(self.settings.state_path)
+            fs, at = _filesystem(self.settings.state_path)
             with fs.open_output_stream(at + ".new") as handle:
                 handle.write(render_positions(end["files"]).encode())
             fs.move(at + ".new", at)

@@ -213,3 +213,14 @@ def test_events_round_trip(spark):
     dropped = to_events(df, {"a": F.col("a"), "b": F.col("b")}, None, drop_null=True)
     assert (dropped.first().headers, bytes(dropped.first().body)) == ({"a": "1"}, b"")
     assert tuple(from_events(kept, {"a": "int"}, "text").first()) == (1, "x")
+
+
+def test_dataset_schema_is_read_for_every_batch(spark, tmp_path):
+    lit = tables.LITERAL_HEADER
+    df = spark.createDataFrame(make_rows([({lit: V1}, '{"id":"1"}')]), EVENT_SCHEMA)
+    schemas = [V1, V2]
+    write = tables.dataset_writer(str(tmp_path / "d"), lambda: schemas.pop(0), {V1: V1})
+    write(df, 0)
+    write(df, 1)
+    back = spark.read.option("mergeSchema", "true").parquet(str(tmp_path / "d"))
+    assert {(r.batch_id, r.msg) for r in back.collect()} == {(0, None), (1, "default")}

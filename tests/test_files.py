@@ -245,3 +245,11 @@ def test_file_names_with_blanks(spark, tmp_path):
         (str(tmp_path / "a b%20c.log"), "a b%20c.log", b"x"),
         (str(tmp_path / "e m.log"), "e m.log", b""),
     ]
+
+
+def test_spool_charset_in_and_out(spark, tmp_path):
+    put(tmp_path, "x.log", "grün\n".encode("latin-1"))
+    row = S.read_spool(spark, str(tmp_path), charset="ISO-8859-1").first()
+    assert bytes(row.body) == "grün".encode()
+    row = S.read_spool(spark, str(tmp_path), charset="ISO-8859-1", output_charset="ISO-8859-1").first()
+    assert bytes(row.body) == "grün".encode("latin-1")

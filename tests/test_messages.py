@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from eventflow.sources import messages as M
@@ -90,3 +91,26 @@ def test_incremental_queries(spark):
     custom = T.ReadStatus("s", "u", None, None, "q", "7")
     assert T.advance(custom, spark.range(8, 12)).last == "11"
     assert T.advance(custom, spark.range(0)).last == "7"
+
+
+def test_poll_moves_only_after_success(spark, tmp_path):
+    table = [(i, f"v{i}") for i in range(25)]
+    path, seen = f"file://{tmp_path}/s.json", []
+    fresh = T.ReadStatus("s", "jdbc:x", "t", "*", None, "0")
+
+    def read(spark, url, status, order_by, max_rows):
+        at = int(status.last)
+        return spark.createDataFrame(table[at : at + max_rows], "id int, v string")
+
+    def fail(rows):
+        raise OSError("sink is down")
+
+    with pytest.raises(OSError):
+        T.poll(spark, "jdbc:x", path, fresh, fail, order_by="id", max_rows=10, read=read)
+    for _ in range(4):
+        T.poll(
+            spark, "jdbc:x", path, fresh, lambda df: seen.extend(r.id for r in df.collect()),
+            order_by="id", max_rows=10, read=read,
+        )
+    assert seen == list(range(25))
+    assert T.load_status(path, fresh).last == "25"
