@@ -37,26 +37,26 @@ def decode_text(body: Column, policy: str = "FAIL", charset: str = "UTF-8") -> C
     )
 
 
-def split_lines(text: Column, max_length: int = 2048, compat: bool = False) -> Column:
-    """Lines of a text as an array, long lines cut into ``max_length`` pieces.
+def _terminated(text: Column) -> Column:
+    return F.endswith(text, F.lit("\n")) | (text == "")
 
-    ``\\r`` stays; an unterminated last line counts; an empty line gives ``''``.
-    With ``compat`` a line whose length is an exact multiple of ``max_length`` is
-    followed by one empty line (its own newline, read separately).
-    """
+
+def whole_lines(parts: Column, text: Column) -> Column:
+    """Lines of a text from its parts at newlines; what follows the last one is no line."""
+    return F.when(_terminated(text), F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+
+
+def cut_lines(whole: Column, text: Column, max_length: int, compat: bool = False) -> Column:
+    """Cut the lines longer than ``max_length`` into pieces."""
     if max_length < 1:
         raise ValueError("max_length must be positive")
-    lines = F.split(text, "\n", -1)
-    terminated = F.endswith(text, F.lit("\n")) | (text == "")
-    # The piece after a final newline is not a line.
-    whole = F.when(terminated, F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
     last = F.size(whole)
 
     def pieces(line: Column, i: Column) -> Column:
         size = F.length(line)
         count = F.greatest(F.ceil(size / F.lit(max_length)).cast("int"), F.lit(1))
         if compat:
-            ended = (i < last - 1) | terminated
+            ended = (i < last - 1) | _terminated(text)
             full = (size > 0) & (F.pmod(size, F.lit(max_length)) == 0) & ended
             count = count + F.when(full, 1).otherwise(0)
         return F.transform(
@@ -64,10 +64,21 @@ def split_lines(text: Column, max_length: int = 2048, compat: bool = False) -> C
             lambda n: F.substr(line, n * max_length + 1, F.lit(max_length)),
         )
 
-    long = F.exists(whole, lambda line: F.length(line) >= max_length)
+    # Bytes bound characters from above, so most texts skip counting them.
+    long = F.exists(whole, lambda line: F.octet_length(line) >= max_length)
     return F.when(long, F.flatten(F.transform(whole, pieces))).otherwise(whole)
 
 
+def split_lines(text: Column, max_length: int = 2048, compat: bool = False) -> Column:
+    """Lines of a text as an array, long lines cut into ``max_length`` pieces.
+
+    ``\\r`` stays; an unterminated last line counts; an empty line gives ``''``.
+    With ``compat`` a line whose length is an exact multiple of ``max_length`` is
+    followed by one empty line (its own newline, read separately).
+    """
+    return cut_lines(whole_lines(F.split(text, "\n", -1), text), text, max_length, compat)
+
+
 def header_and_text(headers: Column, body: Column) -> Column:
     """``{k=v, ...} body``."""
     return F.concat(hdr.render(headers), F.lit(" "), body.cast("string"))

@@ -21,8 +21,7 @@ def typed_rows(df: DataFrame, ddl: str, name: str = "row", first_only: bool = Fa
     """
     parsed = F.from_json(F.col("body").cast("string"), f"array<{ddl}>")
     if first_only:
-        first = F.get(parsed, F.lit(0))
-        return df.withColumn(name, first).filter(F.col(name).isNotNull())
+        parsed = F.slice(parsed, 1, 1)
     return df.withColumn(name, F.explode(parsed))
 
 

@@ -134,23 +134,35 @@ def decode_dataset(
     """
     h = F.col("headers")
     which = F.coalesce(h[url_header], h[literal_header])
-    text = F.col("body").cast("string")
-    target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
-    row = F.lit(None).cast(target)
     if codec == "avro":
         if not avro_codec(df.sparkSession):
             raise RuntimeError("Avro bodies need the Avro package on the classpath")
         from pyspark.sql.avro.functions import from_avro
+    readable = {}
     for key, schema_text in writers.items():
         writer = RecordSchema.parse(schema_text)
-        if not table.reads(writer):
-            continue
+        if table.reads(writer):
+            readable[key] = (schema_text, writer)
+    # First decode (each body by one schema only), then resolve: a decoded value is used
+    # once per field and must not be parsed again for each.
+    values = []
+    for i, (key, (schema_text, writer)) in enumerate(readable.items()):
         if codec == "avro":
             value = from_avro(F.col("body"), schema_text, {"mode": "PERMISSIVE"})
         else:
             options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-            value = F.from_json(text, writer.ddl + ", _corrupt string", options)
-            value = F.when(value["_corrupt"].isNull(), value)
+            value = F.from_json(
+                F.col("body").cast("string"), writer.ddl + ", _corrupt string", options
+            )
+        values.append(F.when(which == key, value).alias(f"_v{i}"))
+    staged = df.select("*", *values)
+    target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
+    row = F.lit(None).cast(target)
+    for i, (_, writer) in enumerate(readable.values()):
+        value = F.col(f"_v{i}")
+        decoded = value.isNotNull()
+        if codec == "json":
+            decoded = decoded & value["_corrupt"].isNull()
         written = {n for n, *_ in writer.fields}
         resolved = F.struct(
             *[
@@ -158,8 +170,8 @@ def decode_dataset(
                 for n, t, _, default in table.fields
             ]
         )
-        row = F.when(which == key, F.when(value.isNotNull(), resolved)).otherwise(row)
-    return df.withColumn("row", row)
+        row = F.when(decoded, resolved).otherwise(row)
+    return staged.withColumn("row", row).drop(*[f"_v{i}" for i in range(len(values))])
 
 
 def write_dataset(

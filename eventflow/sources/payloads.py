@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.functions import headers as hdr
-from eventflow.functions.text import split_lines
+from eventflow.functions.text import cut_lines, whole_lines
 from eventflow.schema import JSON_EVENTS_DDL, body_bytes, empty_headers, is_utf8, to_events
 
 JSON_CHARSETS = ("UTF-8", "UTF-16", "UTF-32")
@@ -24,12 +24,10 @@ def parse_json_events(
     raw = F.col(payload)
     if dict(df.dtypes)[payload] == "binary":
         raw = F.decode(raw, charset)
-    parsed = df.withColumn("_events", _strict_events(raw))
-    events = parsed.filter(F.col("_events").isNotNull()).select(
-        *keep, F.explode("_events").alias("_e")
-    )
+    # A rejected payload parses to null, which explodes to no row.
+    events = df.select(*keep, F.explode(_strict_events(raw)).alias("_e"))
     out = to_events(events, F.col("_e.headers"), F.col("_e.body"), keep=keep, charset=charset)
-    return out, parsed.filter(F.col("_events").isNull()).drop("_events")
+    return out, df.filter(_strict_events(raw).isNull())
 
 
 def _strict_events(raw: Column) -> Column:
@@ -71,11 +69,17 @@ def read_lines(
     content = F.col(text)
     if dict(df.dtypes)[text] == "binary":
         content = content.cast("string") if is_utf8(charset) else F.decode(content, charset)
-    return df.select(
-        *carried,
-        headers.alias("headers"),
-        F.posexplode(split_lines(content, max_length, compat)).alias("line_no", "_line"),
-    ).select(*carried, "line_no", "headers", body_bytes(F.col("_line"), charset).alias("body"))
+    # Step by step, so the text is split once although its parts are used repeatedly.
+    t = F.col("_text")
+    staged = (
+        df.select(*carried, headers.alias("headers"), content.alias("_text"))
+        .select(*carried, "headers", "_text", F.split(t, "\n", -1).alias("_parts"))
+        .select(*carried, "headers", "_text", whole_lines(F.col("_parts"), t).alias("_whole"))
+    )
+    lines = cut_lines(F.col("_whole"), t, max_length, compat)
+    return staged.select(*carried, "headers", F.posexplode(lines).alias("line_no", "_line")).select(
+        *carried, "line_no", "headers", body_bytes(F.col("_line"), charset).alias("body")
+    )
 
 
 def frame_lines(
@@ -89,7 +93,8 @@ def frame_lines(
     """
     carried = [c for c in df.columns if c not in (chunk, "headers", "body")]
     text = F.col(chunk).cast("string") if dict(df.dtypes)[chunk] == "binary" else F.col(chunk)
-    parts = F.split(text, "\n", -1)
+    df = df.select(*carried, F.split(text, "\n", -1).alias("_parts"))
+    parts = F.col("_parts")
     complete = F.slice(parts, F.lit(1), F.size(parts) - 1)
     # Position of the first over-long piece, or 0; the unterminated tail counts too.
     too_long = F.array_position(F.transform(parts, lambda x: F.length(x) > max_length), True)
