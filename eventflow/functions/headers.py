@@ -21,10 +21,13 @@ def put(headers: Column, entries: dict[str, Column], preserve: bool = False) ->
             return F.when(F.map_contains_key(headers, names[0]), headers).otherwise(
                 F.map_concat(headers, added)
             )
-        return F.map_concat(
-            headers, F.map_filter(added, lambda k, _: ~F.map_contains_key(headers, k))
-        )
-    return F.map_concat(F.map_filter(headers, lambda k, _: ~k.isin(names)), added)
+    # Lambdas are interpreted: filter only where a map does hold one of the keys.
+    taken = F.arrays_overlap(F.map_keys(headers), F.array(*[F.lit(n) for n in names]))
+    if preserve:
+        missing = F.map_filter(added, lambda k, _: ~F.map_contains_key(headers, k))
+        return F.map_concat(headers, F.when(taken, missing).otherwise(added))
+    kept = F.when(taken, F.map_filter(headers, lambda k, _: ~k.isin(names))).otherwise(headers)
+    return F.map_concat(kept, added)
 
 
 def put_present(headers: Column, entries: dict[str, Column]) -> Column:
@@ -35,14 +38,14 @@ def put_present(headers: Column, entries: dict[str, Column]) -> Column:
         ),
         lambda _, v: v.isNotNull(),
     )
-    return F.map_concat(
-        F.map_filter(headers, lambda k, _: ~F.map_contains_key(added, k)), added
-    )
+    return overlay(headers, added)
 
 
 def overlay(base: Column, top: Column) -> Column:
     """Map union where ``top`` wins on equal keys."""
-    return F.map_concat(F.map_filter(base, lambda k, _: ~F.map_contains_key(top, k)), top)
+    shared = F.arrays_overlap(F.map_keys(base), F.map_keys(top))
+    kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(top, k))
+    return F.map_concat(F.when(shared, kept).otherwise(base), top)
 
 
 def remove(headers: Column, hit: Callable[[Column], Column]) -> Column:

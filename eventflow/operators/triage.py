@@ -14,20 +14,32 @@ DONE_HEADER, POISON_HEADER = "IS_PROCESSED_SUCCESSFULLY", "POISONED_EVENT"
 OK, DROPPED, POISON = "ok", "dropped", "poison"
 
 
-def typed_rows(df: DataFrame, ddl: str, name: str = "row", first_only: bool = False) -> DataFrame:
-    """Body (a JSON array of records) to 0..n typed rows per event.
-
-    A body that does not parse gives no row. ``first_only`` keeps the first record.
+def json_records(ddl: str) -> Callable[[Column], Column]:
+    """Body parser: a JSON array of records; null when it does not parse."""
+    return lambda body: F.from_json(body.cast("string"), f"array<{ddl}>")
+
+
+def typed_rows(
+    df: DataFrame,
+    parse: str | Callable[[Column], Column],
+    name: str = "row",
+    first_only: bool = False,
+) -> DataFrame:
+    """Bodies to 0..n typed rows per event.
+
+    ``parse`` is the record type of a JSON array, or any function from the body to an
+    array column. A body that does not parse gives no row. ``first_only`` keeps the
+    first record.
     """
-    parsed = F.from_json(F.col("body").cast("string"), f"array<{ddl}>")
+    parsed = (json_records(parse) if isinstance(parse, str) else parse)(F.col("body"))
     if first_only:
         parsed = F.slice(parsed, 1, 1)
     return df.withColumn(name, F.explode(parsed))
 
 
-def undecodable(df: DataFrame, ddl: str) -> DataFrame:
+def undecodable(df: DataFrame, parse: str | Callable[[Column], Column]) -> DataFrame:
     """The events ``typed_rows`` drops: unparseable or empty."""
-    parsed = F.from_json(F.col("body").cast("string"), f"array<{ddl}>")
+    parsed = (json_records(parse) if isinstance(parse, str) else parse)(F.col("body"))
     return df.filter(F.coalesce(F.size(parsed), F.lit(0)) < 1)
 
 

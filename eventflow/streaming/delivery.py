@@ -129,3 +129,34 @@ def write_balanced(
         except Exception as error:
             log.warning("sink %s failed for batch %s: %s", name, batch_id, error)
     raise RuntimeError("all sinks failed")
+
+
+def process_each(
+    df: DataFrame,
+    open_resource: Callable[[], object],
+    process: Callable[[object, object], None],
+    close: Callable[[object], None] | None = None,
+) -> None:
+    """Hand every row to a callback with a per-task resource (a client, a connection).
+
+    All rows are tried; if any failed the job fails, so the batch is run again. The
+    callback must tolerate a row it has seen before.
+    """
+
+    def run(rows) -> None:
+        resource, failed, last = None, 0, None
+        try:
+            for row in rows:
+                if resource is None:
+                    resource = open_resource()
+                try:
+                    process(resource, row)
+                except Exception as error:
+                    failed, last = failed + 1, error
+        finally:
+            if resource is not None and close is not None:
+                close(resource)
+        if failed:
+            raise RuntimeError(f"{failed} events failed, last error: {last}")
+
+    df.foreachPartition(run)

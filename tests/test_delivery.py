@@ -224,3 +224,31 @@ def test_dataset_schema_is_read_for_every_batch(spark, tmp_path):
     write(df, 1)
     back = spark.read.option("mergeSchema", "true").parquet(str(tmp_path / "d"))
     assert {(r.batch_id, r.msg) for r in back.collect()} == {(0, None), (1, "default")}
+
+
+def test_process_each(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def note(handle, row):
+        if row.headers["i"] == "3":
+            raise ValueError("bad event")
+        handle.write(row.headers["i"] + "\n")
+
+    def opened():
+        return open(log, "a")
+
+    df = sample(spark).coalesce(1)
+    D.process_each(df.filter(header("i") != "3"), opened, note, lambda h: h.close())
+    assert open(log).read().split() == ["0", "1", "2", "4", "5"]
+    with pytest.raises(Exception, match="1 events failed"):
+        D.process_each(df, opened, note, lambda h: h.close())
+
+
+def test_custom_body_parser(spark):
+    df = spark.createDataFrame(make_rows([({}, "a,b"), ({}, "")]), EVENT_SCHEMA)
+
+    def words(body):
+        return F.when(F.octet_length(body) > 0, F.split(body.cast("string"), ","))
+
+    assert [r.row for r in T.typed_rows(df, words).collect()] == ["a", "b"]
+    assert T.undecodable(df, words).count() == 1
