@@ -228,12 +228,17 @@ def split_valid(
 def dedupe_events(
     df: DataFrame, id_header: str = "id", event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
-    """One event per id header. Streams need ``event_time`` and ``delay`` to bound state."""
+    """One event per id header; events without an id are all kept.
+
+    Streams need ``event_time`` and ``delay`` to bound state.
+    """
     keyed = df.withColumn("_id", F.col(H)[id_header])
-    if df.isStreaming and event_time and delay:
-        return (
-            keyed.withWatermark(event_time, delay)
-            .dropDuplicatesWithinWatermark(["_id"])
-            .drop("_id")
-        )
-    return keyed.dropDuplicates(["_id"]).drop("_id")
+    bounded = df.isStreaming and event_time and delay
+    if bounded:
+        keyed = keyed.withWatermark(event_time, delay)
+    known = keyed.filter(F.col("_id").isNotNull())
+    if bounded:
+        known = known.dropDuplicatesWithinWatermark(["_id"])
+    else:
+        known = known.dropDuplicates(["_id"])
+    return known.unionByName(keyed.filter(F.col("_id").isNull())).drop("_id")

@@ -178,3 +178,8 @@ def test_limit_size(spark):
     out = events(spark, ({}, "abcdef"), ({}, "ab")).transform(I.limit_size(3)).collect()
     assert [bytes(r.body) for r in out] == [b"abc", b"ab"]
     assert [r.headers.get("syslog.status") for r in out] == ["Incomplete", None]
+
+
+def test_dedupe_keeps_events_without_an_id(spark):
+    df = events(spark, ({"id": "1"}, "a"), ({"id": "1"}, "a"), ({}, "b"), ({"id": None}, "b"), ({}, "b"))
+    assert sorted(bodies(I.dedupe_events(df))) == ["a", "b", "b", "b"]
