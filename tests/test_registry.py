@@ -6,12 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from eventflow.plans import registry
 from tests.conftest import ROOT, SF
 
 sys.path.insert(0, str(ROOT / "tools"))
 import check_oracle  # noqa: E402
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+registry.load_all()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
