@@ -5,13 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventflow.llm import credentials, crf, langid
 from eventflow.llm.common import QUERIES, SQL, query, table
+from eventflow.llm.forest import nearest
 from eventflow.llm.ngram_join import similar_groups
 from eventflow.llm.suffixes import remove_repeats
+from eventflow.llm.warc import page_records, read_warc, write_warc
+from eventflow.session import shared_dir
 
 __all__ = ["QUERIES", "SQL"]
 
 
+@query(
+    "op1_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+    d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS n, sha256(body) AS digest FROM p),
+    f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
+    SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
+           CASE WHEN f.first IS NULL OR f.first = page_id THEN 'response' ELSE 'revisit' END
+               AS record_type,
+           CASE WHEN f.first <> page_id THEN f.first END AS refers_to
+    FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 100
+    """,
+)
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records, read back by byte ranges."""
+    path = shared_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return page_records(read_warc(spark, path)).drop("target_uri")
+
+
+@query("op2_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learned from three quarters of the ids, predicted for all texts."""
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id"))
+    model = langid.train(docs.where("NOT held_out AND doc_id IS NOT NULL"))
+    # Only the text enters a prediction.
+    named = langid.identify(docs.select("doc_id", "held_out", "text"), model)
+    return named.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+@query("op3_secret_scan")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans, and weak ones that complementary parts confirm."""
+    found = credentials.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: ~s["linked"])
+
+    def joined(spans):
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.withColumn("base", base).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"),
+        count("hex").alias("n_hex"), F.sha2(joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
+@query("op4_hash_prefix_forest")
+def hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op7_suffix_array_dedup")
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), length=400)
@@ -20,6 +80,17 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by a field fitted on labelled pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = crf.extract(pages, crf.trained())
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"),
+        F.char_length("main_text").cast("long").alias("n_chars"),
+    )
+
+
 @query("op10_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = similar_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
