@@ -327,7 +327,7 @@ def similar_groups(
     A and B are the documents' sets of distinct ``k``-word shingles (A-Z lower-cased,
     words split at spaces and 0x09-0x0D; fewer words give the whole sequence). Returns one
     row per row of ``docs``: ``nid`` (key of the row), doc_id, n_shingles and component_id,
-    the least doc_id reachable by links. Texts that are null, empty or without words have
+    the least doc_id reachable by links, and ``group`` (a key of the component). Texts that are null, empty or without words have
     no shingle and link with nothing. Equal rows stay apart rows with the same result; a
     null id is never a component_id unless no other id is reachable. Other columns are
     ignored, whatever their names; an empty table gives no rows.
@@ -413,15 +413,48 @@ def similar_groups(
 
 
 def _with_least_id(sizes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Components named by their least doc_id."""
+    """Rows with their group and its least doc_id."""
     if labels is None:
-        return sizes.withColumn("component_id", F.col("doc_id"))
+        return sizes.withColumn("group", F.col("nid")).withColumn("component_id", F.col("doc_id"))
     nodes = stored(labels.withColumnRenamed("node", "nid"), "labels")
     least = stored(
         nodes.join(sizes.groupBy("nid").agg(F.min("doc_id").alias("doc_id")), "nid")
         .groupBy("component").agg(F.min("doc_id").alias("component_id")), "least",
     )
-    named = nodes.join(least, "component").select("nid", "component_id")
+    named = nodes.join(least, "component").select("nid", "component", "component_id")
+    own = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return sizes.join(named, "nid", "left").select(
-        "nid", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "nid", "doc_id", "n_shingles", F.coalesce("component", "nid").alias("group"),
+        own.alias("component_id"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """The rows of ``docs`` left when of each group of similar documents one stays.
+
+    That is the one with the least id (then key); null ids come last. Rows with equal id
+    and text are one document. Documents without a shingle are no copies of each other.
+    """
+    groups = stored(similar_groups(docs, id_column, text_column, **options), "groups")
+    best = stored(
+        groups.groupBy("group").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "nid")).alias("best"),
+            F.count(F.lit(1)).alias("n"),
+        ).where("n > 1").select("group", F.col("best.nid").alias("stays")), "best",
+    )
+    gone = stored(
+        groups.join(best, "group").where("nid != stays").select(F.col("nid").alias("__nid"))
+        .distinct(), "gone",
+    )
+    keyed = docs.withColumn("__nid", row_key(id_column, text_column))
+    kept = keyed.join(gone, "__nid", "left_anti")
+    equal = stored(
+        groups.groupBy(F.col("nid").alias("__nid")).agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("__nid"), "equal-rows",
+    )
+    if not equal.isEmpty():
+        single = kept.join(equal, "__nid", "left_anti")
+        kept = single.union(kept.join(equal, "__nid", "left_semi").dropDuplicates(["__nid"]))
+    return kept.drop("__nid")

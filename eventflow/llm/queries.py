@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from eventflow.llm import credentials, crf, langid
 from eventflow.llm.common import QUERIES, SQL, query, table
+from eventflow.llm.decontaminate import find_contamination
 from eventflow.llm.forest import nearest
+from eventflow.llm.lines import drop_repeated_runs
 from eventflow.llm.ngram_join import similar_groups
+from eventflow.llm.reports import LINES_SQL, MIX_SQL, WARC_SQL, mixed
 from eventflow.llm.suffixes import remove_repeats
 from eventflow.llm.warc import page_records, read_warc, write_warc
 from eventflow.session import shared_dir
@@ -16,19 +19,7 @@ from eventflow.session import shared_dir
 __all__ = ["QUERIES", "SQL"]
 
 
-@query(
-    "op1_warc",
-    """
-    WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
-    d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS n, sha256(body) AS digest FROM p),
-    f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest)
-    SELECT page_id, n AS payload_bytes, d.digest AS payload_digest,
-           CASE WHEN f.first IS NULL OR f.first = page_id THEN 'response' ELSE 'revisit' END
-               AS record_type,
-           CASE WHEN f.first <> page_id THEN f.first END AS refers_to
-    FROM d LEFT JOIN f ON d.digest = f.digest AND d.n >= 100
-    """,
-)
+@query("op1_warc", WARC_SQL)
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC records, read back by byte ranges."""
     path = shared_dir(spark, "warc")
@@ -72,6 +63,29 @@ def hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op5_line_dedup", LINES_SQL)
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later repeats of runs of three or more lines deleted."""
+    out = drop_repeated_runs(table(spark, sf_dir, "documents"), run=3)
+    return out.select(
+        "doc_id", "n_lines", "n_removed", "n_runs",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+@query("op6_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    items = F.transform("contamination", lambda c: c["item_id"].cast("string"))
+    return found.select(
+        "doc_id", F.size("contamination").cast("long").alias("n_items"),
+        F.array_join(items, ",").alias("items"),
+        F.array_max(F.transform("contamination", lambda c: c["similarity"])).alias("similarity"),
+    )
+
+
 @query("op7_suffix_array_dedup")
 def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents"), length=400)
@@ -91,6 +105,14 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_source_mixing", MIX_SQL)
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents selected so that tokens follow target weights."""
+    out = mixed(table(spark, sf_dir, "documents"))
+    names = [F.coalesce(F.col(c), F.lit("unknown")).alias(c) for c in ("lang", "source")]
+    return out.select("doc_id", "domain", *names, "n_tokens", "copies")
+
+
 @query("op10_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = similar_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
