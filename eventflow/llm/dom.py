@@ -119,9 +119,9 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         tag, closing, source = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            if tag in BLOCKS:
-                flush()
             depth = len(stack) - 1 if stack and stack[-1][0] == tag else find({tag}, set())
+            if tag in BLOCKS and (depth >= 0 or tag == "p"):
+                flush()
             if depth >= 0:
                 pop_to(depth)
             elif tag == "br":

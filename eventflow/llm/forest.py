@@ -56,7 +56,7 @@ def fit(
     """
     rng = np.random.default_rng(seed)
     planes = rng.normal(size=(trees, BITS, sample.shape[1] + 1))
-    forest = Forest(planes, np.zeros((trees, BITS)), norm, 1.0, 0)
+    forest = Forest(planes, np.zeros((trees, BITS)), norm, float(trees), 0)  # all rows
     lifted = forest.lift(sample, False)
     forest.cuts = np.median(np.einsum("nd,tbd->tbn", lifted, planes), axis=2)
     if len(sample) <= 4 * k:
@@ -228,7 +228,7 @@ def forest_nearest(
     def shard(df: pd.DataFrame) -> pd.DataFrame:
         index, asked = df[~df["query"]].sort_values("key", kind="stable"), df[df["query"]]
         if asked.empty or index.empty:
-            return pd.DataFrame({"q": [], "counts": [], "h": [], "mid": [], "level": [], "score": []})
+            return pd.DataFrame(columns=["q", "counts", "h", "mid", "level", "score"], dtype=object)
         keys, h, mid = (index[c].to_numpy() for c in ("key", "h", "mid"))
         vectors = _stack(index["vec"], dtype)
         out = []
@@ -339,10 +339,10 @@ def nearest(
         norm = own.select("vec").mapInPandas(longest, "norm double").agg(F.max("norm")).first()[0]
         forest = fit(sample, norm, trees=trees, k=k, recall=recall, seed=seed)
         found = stored(forest_nearest(own, forest, n, dtype, k + 1, shard_rows), "neighbours")
-        short = found.where("short").select("q").distinct()
+        good = found.where("NOT short").drop("short")
         asking = own.where("asks").select(F.col("h").alias("q"), "vec")
-        again = exact_nearest(own, stored(asking.join(short, "q"), "asked-again"), dtype, k + 1)
-        part = found.where("NOT short").drop("short").union(again)
+        asking = stored(asking.join(good.select("q").distinct(), "q", "left_anti"), "asked-again")
+        part = good.union(exact_nearest(own, asking, dtype, k + 1))
         answers = part if answers is None else answers.union(part)
     if answers is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

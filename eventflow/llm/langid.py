@@ -53,11 +53,13 @@ class Subwords:
 
 @dataclass
 class Model:
-    """Class scores by bucket (embedding times output weights), bias and calibration."""
+    """Class scores by bucket (embedding times output weights) and calibration.
+
+    There is no bias: text without a known gram scores all languages alike.
+    """
 
     langs: list[str]
     scores: np.ndarray
-    bias: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
 
@@ -72,7 +74,7 @@ class Model:
                 else:
                     total += self.scores[ids].sum(0)
                 n += len(ids)
-            out.append(total / max(n, 1) + self.bias)
+            out.append(total / max(n, 1))
             known.append(n > 0)
         return np.array(out).reshape(-1, len(self.langs)), np.array(known, bool)
 
@@ -97,12 +99,12 @@ def fit(
 
     A fifth is held back. On short pieces of it a temperature is fitted to the likelihood;
     the rejection threshold lies below what nearly every rightly named whole text reaches.
-    Buckets that training never met score nothing, so text of unknown grams falls back to
-    the bias and under the threshold.
+    Buckets that training never met score nothing, so text of unknown grams scores all
+    languages alike and falls under the threshold.
     """
     names = sorted(set(langs))
     if not names:
-        return Model([UNKNOWN], np.zeros((BUCKETS, 1)), np.zeros(1))
+        return Model([UNKNOWN], np.zeros((BUCKETS, 1)))
     rng = np.random.default_rng(seed)
     subwords = Subwords()
     label = np.array([names.index(x) for x in langs])
@@ -110,7 +112,7 @@ def fit(
     held, train = order[: len(order) // 5], order[len(order) // 5 :]
     embed = rng.normal(0, 0.3 / DIM, (BUCKETS, DIM))
     met = np.zeros(BUCKETS, bool)
-    weights, bias = rng.normal(0, 0.3, (DIM, len(names))), np.zeros(len(names))
+    weights = rng.normal(0, 0.3, (DIM, len(names)))
     per = np.bincount(label[train], minlength=len(names)) if len(train) else np.ones(len(names))
     balance = np.minimum(per.max() / np.maximum(per, 1), 20.0)
     steps, total = 0, max(1, epochs * len(train))
@@ -126,15 +128,14 @@ def fit(
             ids = ids[0]
             met[ids] = True
             x = embed[ids].mean(0)
-            p = softmax(x @ weights + bias)
+            p = softmax(x @ weights)
             p[label[i]] -= 1.0
             step = rate * (1 - steps / (total + 1)) * balance[label[i]]
             back = weights @ p
             weights -= step * np.outer(x, p)
-            bias -= 0.1 * step * p
             np.subtract.at(embed, ids, np.clip(step, 0, 2) * back / len(ids) * 8.0)
     scores = ((embed * met[:, None]) @ weights).astype(np.float32)
-    model = Model(names, scores, bias - bias.mean())
+    model = Model(names, scores)
     if len(held):
         pieces = [texts[i][(a := len(texts[i]) // 3) : a + 25] for i in held]
         z, known = model.logits(pieces, subwords)
