@@ -16,6 +16,16 @@ HASH_HEADER = "avro.schema.hash"
 LITERAL_HEADER = "avro.schema.literal"
 URL_HEADER = "avro.schema.url"
 
+#: Record of an event in Avro files: neither headers nor body is null.
+EVENT_RECORD = json.dumps({
+    "type": "record",
+    "name": "Event",
+    "fields": [
+        {"name": "headers", "type": {"type": "map", "values": "string"}},
+        {"name": "body", "type": "bytes"},
+    ],
+})
+
 #: Data source names to try: the packaged one, then the bundled file format class.
 FORMAT_NAMES = ("avro", "org.apache.spark.sql.avro.AvroFileFormat")
 
@@ -46,7 +56,10 @@ def avro_codec(spark: SparkSession) -> bool:
 
 
 def event_file_format(spark: SparkSession) -> str:
-    return avro_format(spark) or "parquet"
+    name = avro_format(spark)
+    if name is None:
+        raise RuntimeError("Avro files are not supported by this session; ask for another format")
+    return name
 
 
 def read_avro_records(

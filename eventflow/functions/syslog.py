@@ -114,7 +114,7 @@ def parse_syslog(
     tagged = text
     for i, fmt in enumerate(all_formats):
         groups = SEP.join(f"${g}" for g in range(1, 6))
-        replaced = F.regexp_replace(tagged, f"^(?:{fmt.regex})$", f"{SEP}{i}{SEP}{groups}")
+        replaced = F.regexp_replace(tagged, rf"\A(?:{fmt.regex})\z", f"{SEP}{i}{SEP}{groups}")
         # Built-in formats need a leading '<', so they cannot touch a tagged text.
         guard = 0 < i < len(formats)
         tagged = F.when(tagged.startswith(SEP), tagged).otherwise(replaced) if guard else replaced

@@ -146,8 +146,8 @@ def split_delimited(text: Column, names: list[str], delimiter: str = ",") -> lis
 
 def regex_groups(text: Column, pattern: str, names: list[str]) -> list[Column]:
     """Groups of a full match as columns, null where the text does not match."""
-    hit = text.rlike(f"^(?:{pattern})$")
+    hit = text.rlike(rf"\A(?:{pattern})\z")
     return [
-        F.when(hit, F.regexp_extract(text, f"^(?:{pattern})$", i + 1)).alias(n)
+        F.when(hit, F.regexp_extract(text, rf"\A(?:{pattern})\z", i + 1)).alias(n)
         for i, n in enumerate(names)
     ]

@@ -88,7 +88,7 @@ def remove_headers(
 
     def hit(key: Column) -> Column:
         found = key.isin(sorted(names)) if names else F.lit(False)
-        return found | key.rlike(f"^(?:{matching})$") if matching is not None else found
+        return found | key.rlike(rf"\A(?:{matching})\z") if matching is not None else found
 
     if not names and matching is None:
         return lambda df: df
@@ -230,8 +230,10 @@ def dedupe_events(
 ) -> DataFrame:
     """One event per id header; events without an id are all kept.
 
-    Streams need ``event_time`` and ``delay`` to bound state.
+    Streams need ``event_time`` and ``delay``: they bound the state.
     """
+    if df.isStreaming and not (event_time and delay):
+        raise ValueError("a stream needs event_time and delay, or its state grows without bound")
     keyed = df.withColumn("_id", F.col(H)[id_header])
     bounded = df.isStreaming and event_time and delay
     if bounded:

@@ -28,16 +28,18 @@ def insert_rows(df: DataFrame, target_schema) -> DataFrame:
 
 
 def _order(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # Within a struct a null compares as the earliest; a bare null would drop the row.
+    return F.struct(*order)
 
 
 def fold_updates(updates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: for each column the last non-null value in event order.
 
+    Columns of the order are values like the others; a null in them comes first.
     ``max_by`` combines on the map side, so a key with very many updates sends one
     partial row per task to its reducer.
     """
-    values = [c for c in updates.columns if c not in keys and c not in order]
+    values = [c for c in updates.columns if c not in keys]
     if not values:
         return updates.select(*keys).distinct()
     position = _order(order)
@@ -81,6 +83,7 @@ def update_or_insert(
     an update whose ``where`` values differ touches nothing (action ``skip``).
     """
     folded = fold_updates(updates, [key], order)
+    folded = folded.drop(*[c for c in order if c != key and c not in target.columns])
     stored = target.select(
         F.col(key).alias("_k"), F.lit(True).alias("_found"), *[F.col(c).alias(f"_w_{c}") for c in where]
     )
@@ -101,5 +104,5 @@ def apply_updates(
 ) -> DataFrame:
     """Target after ``update_or_insert``."""
     acted = update_or_insert(target, updates, key, order, where)
-    live = acted.filter(F.col("action") != "skip").withColumn("_one", F.lit(1)).drop("action")
-    return merge_upsert(target, live, [key], ["_one"])
+    live = acted.filter(F.col("action") != "skip").drop("action")
+    return merge_upsert(target, live, [key], [key])  # one update per key: any order

@@ -66,10 +66,14 @@ def split_poison(df: DataFrame, parsed: Column, processed: Column) -> DataFrame:
 
 def commit_or_raise(triaged: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, int]:
     """Write the good events only if none is poisoned; otherwise fail the whole batch."""
-    counts = {r["status"]: r["count"] for r in triaged.groupBy("status").count().collect()}
-    if counts.get(POISON):
-        raise RuntimeError(f"{counts[POISON]} poisoned events, batch rolled back")
-    write(triaged.filter(F.col("status") == OK))
+    held = triaged.persist()
+    try:
+        counts = {r["status"]: r["count"] for r in held.groupBy("status").count().collect()}
+        if counts.get(POISON):
+            raise RuntimeError(f"{counts[POISON]} poisoned events, batch rolled back")
+        write(held.filter(F.col("status") == OK))
+    finally:
+        held.unpersist()
     return counts
 
 

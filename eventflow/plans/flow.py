@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from eventflow.operators.interceptors import Step, chain
 from eventflow.operators.routing import explode_channels
-from eventflow.streaming.delivery import Writer, deliver
+from eventflow.session import run_series
+from eventflow.streaming.delivery import Writer, batch_key, deliver
 
 
 @dataclass(frozen=True)
@@ -51,9 +53,13 @@ class Flow:
         )
         return explode_channels(events, every, extra)
 
-    def run(self, batch_id: int = 0) -> dict[str, str]:
-        """Run a batch flow once."""
-        return deliver(self.routed(), batch_id, self.required, self.optional)
+    def run(self, batch_id: int | None = None) -> dict[str, str]:
+        """Run a batch flow once.
+
+        Each run adds its output; to repeat a failed run in place pass the same id again.
+        """
+        key = time.time_ns() if batch_id is None else batch_id
+        return deliver(self.routed(), key, self.required, self.optional)
 
     def start(
         self,
@@ -63,10 +69,15 @@ class Flow:
         once: bool = False,
         name: str | None = None,
     ):
-        """Start a streaming flow; the checkpoint moves only after required channels did."""
+        """Start a streaming flow; the checkpoint moves only after required channels did.
+
+        Writers get a batch key made of the checkpoint's own series and the batch number, so
+        a repeated batch replaces its output and another checkpoint adds to the folder.
+        """
+        series = run_series(self.source.sparkSession, checkpoint)
 
         def batch(df: DataFrame, batch_id: int) -> None:
-            deliver(df, batch_id, self.required, self.optional)
+            deliver(df, batch_key(series, batch_id), self.required, self.optional)
 
         writer = (
             self.routed().writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def run_series(spark: SparkSession, checkpoint: str) -> int:
+    """Start time (millis) of a stream, kept beside its checkpoint.
+
+    The first start writes it, later ones read it, so names made from it survive a restart
+    and differ from those of another checkpoint.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/series")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        own = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/.series-{uuid.uuid4().hex}")
+        out = fs.create(own, False)
+        out.writeLong(time.time_ns() // 1_000_000)
+        out.close()
+        fs.rename(own, path)
+    held = fs.open(path)
+    try:
+        return held.readLong()
+    finally:
+        held.close()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.operators.merge import case_insensitive, fold_updates, insert_rows
+from eventflow.operators.merge import fold_updates, insert_rows
 
 PARAMETER = re.compile(r"\$\{(?P<part>[^\s:}]+):(?P<type>[^\s}]+)\}")  # fixed: ${name:type}
 BATCH = 100
@@ -39,6 +39,15 @@ SQL_TYPES = {
     "TIMESTAMP": "timestamp",
     "BLOB": "binary",
     "VARBINARY": "binary",
+    "LONGVARCHAR": "string",
+    "NVARCHAR": "string",
+    "NCHAR": "string",
+    "LONGNVARCHAR": "string",
+    "NCLOB": "string",
+    "BIT": "boolean",
+    "BINARY": "binary",
+    "LONGVARBINARY": "binary",
+    "TIME": "string",
 }
 
 
@@ -63,6 +72,9 @@ class Template:
     @classmethod
     def parse(cls, text: str, placeholder: str = "?") -> "Template":
         found = tuple((m["part"], m["type"].upper()) for m in PARAMETER.finditer(text))
+        unknown = sorted({kind for _, kind in found} - set(SQL_TYPES))
+        if unknown:
+            raise ValueError(f"unknown SQL types: {', '.join(unknown)}")
         return cls(PARAMETER.sub(placeholder, text), found)
 
     def bindings(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -77,9 +89,21 @@ class Template:
 
 
 def run_batches(
-    df: DataFrame, connect: Callable[[], object], statement: str, batch_size: int = BATCH
+    df: DataFrame,
+    connect: Callable[[], object],
+    statement: str | list[tuple[str, list[int]]],
+    batch_size: int = BATCH,
 ) -> None:
-    """Execute a prepared statement per row, in batches, one connection per task."""
+    """Execute prepared statements per row, in batches, one connection and commit per task.
+
+    A single statement takes all columns; of several each names the places of its own.
+    """
+    steps = [(statement, None)] if isinstance(statement, str) else statement
+
+    def execute(cursor, pending: list[tuple]) -> None:
+        for sql, places in steps:
+            rows = pending if places is None else [tuple(r[i] for i in places) for r in pending]
+            cursor.executemany(sql, rows)
 
     def send(rows) -> None:
         connection = None
@@ -91,10 +115,10 @@ def run_batches(
                     cursor = connection.cursor()
                 pending.append(tuple(row))
                 if len(pending) >= batch_size:
-                    cursor.executemany(statement, pending)
+                    execute(cursor, pending)
                     pending = []
             if pending:
-                cursor.executemany(statement, pending)
+                execute(cursor, pending)
             if connection is not None:
                 connection.commit()
         finally:
@@ -125,14 +149,22 @@ def upsert_statement(table: str, columns: list[str], keys: list[str], placeholde
     )
 
 
+def _folded(df: DataFrame, columns: list[str], keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key with the mapped columns, those of the order among them."""
+    by_name = {c.lower(): c for c in df.columns}
+    mapped = [F.col(by_name[c.lower()]).alias(c) for c in columns if c.lower() in by_name]
+    steps = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order)]
+    names = [f"_order{i}" for i in range(len(order))]
+    return fold_updates(df.select(*mapped, *steps), keys, names).drop(*names)
+
+
 def jdbc_upsert(
     df: DataFrame, table: str, columns: list[str], keys: list[str], order: list[str],
     connect: Callable[[], object], placeholder: str = "?", batch_size: int = BATCH,
 ) -> None:
     """Upsert events. Updates of a key are folded first, so each key is written by one
     task, once; repeating the write changes nothing."""
-    carried = df.select(*order, *[c for c in case_insensitive(df, columns).columns if c not in order])
-    folded = fold_updates(carried, keys, order)
+    folded = _folded(df, columns, keys, order)
     cols = [c for c in columns if c in folded.columns]
     statement = upsert_statement(table, cols, keys, placeholder)
     run_batches(folded.select(*cols), connect, statement, batch_size)
@@ -147,27 +179,24 @@ def jdbc_update_or_insert(
 
     A null field leaves the stored value; a ``where`` field is compared, not set.
     """
-    carried = df.select(*order, *[c for c in case_insensitive(df, columns).columns if c not in order])
-    folded = fold_updates(carried, [key], order)
+    folded = _folded(df, columns, [key], order)
     cols = [c for c in columns if c in folded.columns]
     fields = [c for c in cols if c != key and c not in where]
     sets = ", ".join(f"{c} = COALESCE({placeholder}, {c})" for c in fields)
     tests = [f"{key} = {placeholder}"] + [
         f"({placeholder} IS NULL OR {w} = {placeholder})" for w in where
     ]
-    # One update and one guarded insert per key, in the same transaction.
     insert = (
         f"INSERT INTO {table} ({', '.join(cols)}) SELECT {', '.join(placeholder for _ in cols)} "
         f"WHERE NOT EXISTS (SELECT 1 FROM {table} WHERE {key} = {placeholder})"
     )
-    order_update = [*fields, key, *[w for w in where for _ in (0, 1)]]
+    steps = [(insert, [*cols, key])]
     if fields:
         update = f"UPDATE {table} SET {sets} WHERE {' AND '.join(tests)}"
-        run_batches(
-            folded.select(*[F.col(c).alias(f"p{i}") for i, c in enumerate(order_update)]),
-            connect, update, batch_size,
-        )
+        steps.insert(0, (update, [*fields, key, *[w for w in where for _ in (0, 1)]]))
+    # Both statements of a task's keys share one connection and one commit.
+    places = {c: i for i, c in enumerate(cols)}
     run_batches(
-        folded.select(*[F.col(c).alias(f"p{i}") for i, c in enumerate([*cols, key])]),
-        connect, insert, batch_size,
+        folded.select(*cols), connect, [(sql, [places[c] for c in used]) for sql, used in steps],
+        batch_size,
     )

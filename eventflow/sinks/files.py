@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.functions.avro import event_file_format
+from eventflow.functions.avro import EVENT_RECORD, event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import dump, header_and_text
+from eventflow.schema import empty_body, empty_headers
 
 SERIALIZERS = ("TEXT", "HEADER_AND_TEXT", "AVRO_EVENT")
 
 
-def serialize_text(df: DataFrame, serializer: str = "TEXT") -> Column:
+def serialize_text(df: DataFrame, serializer: str | Callable[[DataFrame], Column] = "TEXT") -> Column:
     """Line of text for an event."""
+    if callable(serializer):
+        return serializer(df)
     if serializer == "TEXT":
         return F.col("body").cast("string")
     if serializer == "HEADER_AND_TEXT":
@@ -24,7 +29,7 @@ def serialize_text(df: DataFrame, serializer: str = "TEXT") -> Column:
 def write_events(
     df: DataFrame,
     path: str,
-    serializer: str = "TEXT",
+    serializer: str | Callable[[DataFrame], Column] = "TEXT",
     *,
     partition_by: list[str] = (),
     compression: str | None = None,
@@ -34,10 +39,14 @@ def write_events(
 ) -> None:
     """Write events; the committer publishes files only when the job succeeds.
 
-    AVRO_EVENT writes the envelope as Avro when the session can, else Parquet.
+    AVRO_EVENT writes Avro files of event records; headers without a value are left out.
+    A session that cannot write Avro raises. A function makes the line of each event.
     """
     if serializer == "AVRO_EVENT":
-        out = df.select(*partition_by, "headers", "body").write
+        present = F.map_filter(F.col("headers"), lambda _, v: v.isNotNull())
+        headers = F.coalesce(present, empty_headers()).alias("headers")
+        body = F.coalesce(F.col("body"), empty_body()).alias("body")
+        out = df.select(*partition_by, headers, body).write.option("avroSchema", EVENT_RECORD)
         fmt = event_file_format(df.sparkSession)
     else:
         out = df.select(*partition_by, serialize_text(df, serializer).alias("value")).write
@@ -88,13 +97,9 @@ def write_bucketed(
         df, pattern, "bucket", tz=tz, round_unit=round_unit, round_value=round_value, clock=clock
     )
     if files_per_bucket:
-        salt = F.pmod(F.xxhash64("headers_text", "body"), F.lit(files_per_bucket))
-        staged = (
-            staged.withColumn("headers_text", F.to_json("headers"))
-            .withColumn("_salt", salt)
-            .repartition("bucket", "_salt")
-            .drop("headers_text", "_salt")
-        )
+        # By the row's place, not its content: a hot bucket may hold equal events.
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_bucket))
+        staged = staged.withColumn("_salt", salt).repartition("bucket", "_salt").drop("_salt")
     write_events(
         staged, path, serializer, partition_by=["bucket"], compression=compression,
         max_records_per_file=roll_count, mode=mode,

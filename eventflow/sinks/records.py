@@ -76,7 +76,7 @@ def regex_columns(
 ) -> DataFrame:
     """Groups of the body as columns; events that do not match give no row."""
     text = F.col("body").cast("string")
-    return df.filter(text.rlike(f"^(?:{pattern})$")).select(
+    return df.filter(text.rlike(rf"\A(?:{pattern})\z")).select(
         *keep, *regex_groups(text, pattern, names)
     )
 

@@ -95,17 +95,20 @@ class RecordSchema:
 
     name: str
     fields: tuple[tuple[str, str, bool, object], ...]  # name, type, has default, default
+    required: frozenset[str] = frozenset()  # fields that are never null
 
     @classmethod
     def parse(cls, text: str) -> "RecordSchema":
         doc = json.loads(text)
-        fields = []
+        fields, required = [], set()
         for f in doc["fields"]:
             branches = f["type"] if isinstance(f["type"], list) else [f["type"]]
             kind = next(b for b in branches if b != "null")
+            if "null" not in branches:
+                required.add(f["name"])
             has_default = "default" in f
             fields.append((f["name"], AVRO_TYPES[kind], has_default, f.get("default")))
-        return cls(doc["name"], tuple(fields))
+        return cls(doc["name"], tuple(fields), frozenset(required))
 
     @property
     def ddl(self) -> str:
@@ -155,6 +158,8 @@ def decode_dataset(
                 F.col("body").cast("string"), writer.ddl + ", _corrupt string", options
             )
         values.append(F.when(which == key, value).alias(f"_v{i}"))
+    if codec == "json":
+        values.append(F.try_parse_json(F.col("body").cast("string")).alias("_json"))
     staged = df.select("*", *values)
     target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
     row = F.lit(None).cast(target)
@@ -163,6 +168,13 @@ def decode_dataset(
         decoded = value.isNotNull()
         if codec == "json":
             decoded = decoded & value["_corrupt"].isNull()
+            for n, kind, *_ in writer.fields:
+                if n in writer.required:
+                    decoded = decoded & value[n].isNotNull()
+                if kind == "string":  # the parser renders any value as text
+                    given = F.try_variant_get("_json", f"$['{n}']", "variant")
+                    is_text = F.schema_of_variant(given).isin("STRING", "VOID")
+                    decoded = decoded & (value[n].isNull() | F.coalesce(is_text, F.lit(False)))
         written = {n for n, *_ in writer.fields}
         resolved = F.struct(
             *[
@@ -171,7 +183,7 @@ def decode_dataset(
             ]
         )
         row = F.when(decoded, resolved).otherwise(row)
-    return staged.withColumn("row", row).drop(*[f"_v{i}" for i in range(len(values))])
+    return staged.withColumn("row", row).drop("_json", *[f"_v{i}" for i in range(len(readable))])
 
 
 def write_dataset(
@@ -188,10 +200,17 @@ def write_dataset(
 ) -> None:
     """Write decodable events as typed rows; treat the rest by policy.
 
-    ``retry`` raises before anything is written, ``save`` appends the original events
-    to the error dataset, a callable receives them.
+    ``retry`` raises before anything is written, ``save`` writes the original events to the
+    error dataset (in the same ``mode``), a callable receives them.
     """
-    decoded = decode_dataset(df, table, writers, **options)
+    decoded = decode_dataset(df, table, writers, **options).persist()
+    try:
+        _write_decoded(decoded, path, fmt, failure_policy, error_path, mode)
+    finally:
+        decoded.unpersist()
+
+
+def _write_decoded(decoded, path, fmt, failure_policy, error_path, mode) -> None:
     bad = decoded.filter(F.col("row").isNull()).select("headers", "body")
     if failure_policy == "retry":
         if not bad.isEmpty():
@@ -199,12 +218,12 @@ def write_dataset(
     elif failure_policy == "save":
         if not error_path:
             raise ValueError("failure policy 'save' needs error_path")
-        bad.write.mode("append").parquet(error_path)
+        bad.write.mode(mode).parquet(error_path)
     else:
         failure_policy(bad)
     rows = decoded.filter(F.col("row").isNotNull()).select("row.*")
     if fmt == "avro":
-        fmt = event_file_format(df.sparkSession)
+        fmt = event_file_format(decoded.sparkSession)
     rows.write.mode(mode).format(fmt).save(path)
 
 
@@ -212,12 +231,16 @@ def dataset_writer(
     path: str, table_schema: Callable[[], str], writers: dict[str, str], **options
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch writer that reads the table schema anew for every batch, so a changed
-    schema applies from the next batch on."""
+    schema applies from the next batch on. Rows and dead letters of a batch have a folder of
+    their own, so a repeated batch replaces both."""
 
     def write(df: DataFrame, batch_id: int) -> None:
+        own = dict(options)
+        if own.get("error_path"):
+            own["error_path"] = f"{own['error_path'].rstrip('/')}/batch_id={batch_id}"
         target = f"{path.rstrip('/')}/batch_id={batch_id}"
         write_dataset(
-            df, target, RecordSchema.parse(table_schema()), writers, mode="overwrite", **options
+            df, target, RecordSchema.parse(table_schema()), writers, mode="overwrite", **own
         )
 
     return write

@@ -14,6 +14,7 @@ from eventflow.schema import empty_headers, header_map
 from eventflow.sources.payloads import read_lines
 
 DEFAULT_SUFFIX = ".COMPLETED"
+MAX_BLOB = 100_000_000  # fixed value: default length of a blob
 
 
 def candidate(
@@ -23,19 +24,24 @@ def candidate(
     return (
         ~F.endswith(name, F.lit(suffix))
         & ~F.startswith(name, F.lit("."))
-        & name.rlike(f"^(?:{include})$")
-        & ~name.rlike(f"^(?:{ignore})$")
+        & name.rlike(rf"\A(?:{include})\z")
+        & ~name.rlike(rf"\A(?:{ignore})\z")
     )
 
 
 def _open_dirs(path: Column, root: str, ignore: str) -> Column:
     """No directory between the root and the file is hidden or ignored."""
-    plain = re.sub(r"^[a-z0-9]+:(?=/)", "", root).rstrip("/")
-    marker = plain.rsplit("/", 1)[-1] + "/"
-    inner = F.substring_index(path, "/" + marker, -1)
-    parts = F.split(inner, "/")
+    plain = re.sub("^file:/+", "/", root).rstrip("/") + "/"
+    local = F.regexp_replace(path, "^file:/+", "/")
+    parts = F.split(F.substring(local, len(plain) + 1, 1 << 30), "/")
     dirs = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    return ~F.exists(dirs, lambda d: d.startswith(".") | d.rlike(f"^(?:{ignore})$"))
+    return ~F.exists(dirs, lambda d: d.startswith(".") | d.rlike(rf"\A(?:{ignore})\z"))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The folder as listings name it: with its scheme and host."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(own).toString()
 
 
 def _scan(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
@@ -83,6 +89,7 @@ def list_spool(
     recursive: bool = False,
 ) -> DataFrame:
     """Candidate files ``(path, name, modified, length)``. Listing reads no content."""
+    path = qualified(spark, path)
     scan = _scan(spark, path, recursive)
     taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
     files = scan.filter(taken).select(
@@ -124,6 +131,7 @@ def read_spool(
     suffix: str = DEFAULT_SUFFIX,
     recursive: bool = False,
     deserializer: str = "LINE",
+    max_blob_length: int = MAX_BLOB,
     max_line_length: int = 2048,
     charset: str = "UTF-8",
     output_charset: str = "UTF-8",
@@ -135,15 +143,16 @@ def read_spool(
     """Events of all candidate files.
 
     LINE splits large files across tasks (the text source reads byte ranges), BLOB makes
-    one event per file. An empty file gives one event with an empty body. Lines end at
+    one event per file, or several of at most ``max_blob_length`` bytes. An empty file gives one event with an empty body. Lines end at
     the byte 0x0A, so ``charset`` must be ASCII-compatible.
     """
+    path = qualified(spark, path)
     scan = _scan(spark, path, recursive)
     taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
     headers = _file_headers(file_header, basename_header, F.col("path")).alias("headers")
     empty = _empty_paths(scan).filter(taken).select(headers, F.lit(b"").alias("body"))
     if deserializer.upper() == "BLOB":
-        whole = scan.filter(taken).select(headers, F.col("content").alias("body"))
+        whole = scan.filter(taken).select(headers, F.explode(_blobs(max_blob_length)).alias("body"))
         return whole.unionByName(empty)
     if deserializer.upper() != "LINE":
         raise ValueError("deserializer must be LINE or BLOB")
@@ -166,6 +175,8 @@ def stream_spool(
     delete_policy: str = "never",
     archive_dir: str | None = None,
     max_files_per_trigger: int | None = None,
+    deserializer: str = "LINE",
+    max_blob_length: int = MAX_BLOB,
     max_line_length: int = 2048,
     charset: str = "UTF-8",
     output_charset: str = "UTF-8",
@@ -177,20 +188,47 @@ def stream_spool(
     """Streaming spool: each file is read once, position kept in the checkpoint.
 
     ``delete_policy`` never/immediate/archive maps to the source's clean-up option.
+    Files come oldest or youngest first; a random order is for batch listings only. BLOB
+    gives one event per file, at most ``max_blob_length`` bytes each. An empty file gives no
+    event in a stream: the file source skips it (``read_spool`` gives one).
     """
+    if order.lower() not in ("oldest", "youngest"):
+        raise ValueError("a stream reads oldest or youngest files first")
+    if delete_policy not in ("never", "immediate", "archive"):
+        raise ValueError("delete_policy must be never, immediate or archive")
+    if delete_policy == "archive" and not archive_dir:
+        raise ValueError("delete_policy 'archive' needs archive_dir")
+    path = qualified(spark, path)
     reader = spark.readStream.option("latestFirst", str(order.lower() == "youngest").lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if delete_policy == "immediate":
         reader = reader.option("cleanSource", "delete")
-    elif archive_dir:
+    elif delete_policy == "archive":
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if deserializer.upper() == "BLOB":
+        files = (
+            reader.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary")
+            .option("recursiveFileLookup", str(recursive).lower()).load(path)
+        )
+        taken = _taken(F.col("path"), path, include, ignore, suffix, recursive)
+        headers = _file_headers(file_header, basename_header, F.col("path")).alias("headers")
+        return files.filter(taken).select(headers, F.explode(_blobs(max_blob_length)).alias("body"))
+    if deserializer.upper() != "LINE":
+        raise ValueError("deserializer must be LINE or BLOB")
     lines = _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix)
     return _cut_lines(
         lines, max_line_length, output_charset, compat, file_header, basename_header
     )
 
 
+def _blobs(length: int) -> Column:
+    """Content in pieces of at most ``length`` bytes."""
+    starts = F.sequence(F.lit(1), F.greatest(F.octet_length("content"), F.lit(1)), F.lit(length))
+    return F.transform(starts, lambda s: F.substring(F.col("content"), s, F.lit(length)))
+
+
 def _text(reader, path, recursive, charset, decode_policy, include, ignore, suffix) -> DataFrame:
     options = {"recursiveFileLookup": str(recursive).lower(), "lineSep": "\n"}
     lines = reader.format("text").options(**options).load(path)

@@ -32,8 +32,22 @@ def parse_json_events(
 
 def _strict_events(raw: Column) -> Column:
     # PERMISSIVE parsing yields null for the whole column on malformed text; a bare
-    # object would be wrapped, so require an array.
-    return F.when(F.ltrim(raw).startswith("["), F.from_json(raw, JSON_EVENTS_DDL))
+    # object would be wrapped, so require an array. The parser stops behind the array and
+    # renders nested header values as text, so both are looked at apart.
+    trimmed = F.trim(F.regexp_replace(raw, r"\A[\s\ufeff]+|\s+\z", ""))
+    events = F.from_json(raw, JSON_EVENTS_DDL)
+    wrapped = F.concat(F.lit('{"a":'), trimmed, F.lit(',"z":1}'))
+    # Text behind the array breaks the wrapping object, whose last field then is missing.
+    whole = F.get_json_object(wrapped, "$.z") == "1"
+    nested = F.exists(
+        F.coalesce(events, F.array().cast(JSON_EVENTS_DDL)),
+        lambda e: F.exists(
+            F.map_values(F.coalesce(e["headers"], F.create_map().cast("map<string,string>"))),
+            lambda v: F.coalesce(v.rlike(r"\A[\[{]"), F.lit(False)) & F.get_json_object(v, "$").isNotNull(),
+        ),
+    )
+    good = trimmed.startswith("[") & trimmed.endswith("]") & whole & ~nested
+    return F.when(F.coalesce(good, F.lit(False)), events)
 
 
 def parse_blob_request(

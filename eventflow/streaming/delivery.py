@@ -19,6 +19,11 @@ log = logging.getLogger(__name__)
 Writer = Callable[[DataFrame, int], None]
 
 
+def batch_key(series: int, batch_id: int) -> int:
+    """64-bit key of a batch of a stream; consecutive batches have consecutive keys."""
+    return series * 1_000_000 + batch_id
+
+
 def batch_writer(path: str, fmt: str = "parquet") -> Writer:
     """Idempotent writer: each batch owns one sub-folder."""
 

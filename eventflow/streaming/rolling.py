@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
+from eventflow.session import run_series
 from eventflow.sinks.files import write_events
 
 
@@ -40,10 +40,11 @@ def write_rolling(
     """Start a stream that rolls its output every interval (every batch if <= 0).
 
     The roll index is the batch id, so a repeated batch overwrites its own roll.
-    ``series`` names the run: pass the same value after a restart to keep the rule.
+    ``series`` names the run; by default it is the time of the first start, kept beside the
+    checkpoint, so a batch repeated after a restart keeps its name.
     ``path_manager='rolltime'`` names a roll by the start second of its interval.
     """
-    series = series if series is not None else int(time.time() * 1000)
+    series = series if series is not None else run_series(events.sparkSession, checkpoint)
 
     def roll(df: DataFrame, batch_id: int) -> None:
         index = batch_id + 1

@@ -30,9 +30,11 @@ def test_flow_batch(spark, tmp_path):
         .to("a", D.batch_writer(a))
         .to("b", D.batch_writer(b))
     )
-    assert flow.run() == {"a": "committed", "b": "committed"}
-    flow.run()  # the same batch again replaces its output
+    assert flow.run(1) == {"a": "committed", "b": "committed"}
+    flow.run(1)  # the same batch again replaces its output
     assert spark.read.parquet(a).count() == 5 and spark.read.parquet(b).count() == 2
+    flow.run()  # another run adds
+    assert spark.read.parquet(a).count() == 10 and spark.read.parquet(b).count() == 4
 
 
 def test_required_failure_fails_the_batch_but_earlier_channels_keep_it(spark, tmp_path):
