@@ -28,10 +28,8 @@ def components(links: DataFrame) -> DataFrame:
             both.join(labels.withColumnRenamed("node", "b"), "b")
             .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
         )
-        step = stored(
-            labels.join(near, "node")
-            .select("node", F.col("component").alias("was"), F.least("component", "m").alias("c")),
-            "labels",
+        step = labels.join(near, "node").select(
+            "node", F.col("component").alias("was"), F.least("component", "m").alias("c")
         )
         jump = step.select(F.col("node").alias("c"), F.col("c").alias("further"))
         after = stored(

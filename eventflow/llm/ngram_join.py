@@ -18,10 +18,12 @@ SLOTS = 1 << 20  # counters of the shingle statistics, a fixed size
 BLOCK = 1 << 14
 HOT_RUN = 1024  # rows above the mean from which a shingle's rows are dealt over several tasks
 RARE, LEVELS = -1, 16
-STAR_ROUNDS = 3
+CROSS_PER_ROW = 16  # pairs of a run that may be left for each row before all are looked at
+STAR_ROUNDS = 6
+BROADCAST_KEYS = 400_000  # row keys sent to all tasks at most
 
 POSTING = "token long, salt int, nid long, size int, pos int, doc_id long"
-MEMBER = POSTING + ", p_nid long, p_size int, p_pos int"
+MEMBER = POSTING + ", f_nid long, f_size int, f_pos int, p_nid long, p_size int, p_pos int"
 
 
 def _shingle_batches(
@@ -135,46 +137,54 @@ def _postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> Data
 
 
 def _members(postings: DataFrame) -> DataFrame:
-    """Rows whose shingle another row has too, with the row before them in the run.
+    """Rows whose shingle another row has too, with the first and the previous row of the run.
 
-    Runs are sorted by size and stream by; two rows are held. Size rows pass through.
+    A run has the rows of one shingle (or one part of a hot one), those first that hold it
+    earliest in their order. Runs stream by; two rows are held. Size rows pass through.
     """
-    names = ["token", "salt", "nid", "size", "pos", "doc_id"]
+    out = pa.schema(
+        [("token", pa.int64()), ("salt", pa.int32()), ("nid", pa.int64()), ("size", pa.int32()),
+         ("pos", pa.int32()), ("doc_id", pa.int64())]
+        + [(f"{x}_{c}", t) for x in "fp" for c, t in (("nid", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()))]
+    )
 
     def stream(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = None, 0
-        out = pa.schema([
-            ("token", pa.int64()), ("salt", pa.int32()), ("nid", pa.int64()), ("size", pa.int32()),
-            ("pos", pa.int32()), ("doc_id", pa.int64()), ("p_nid", pa.int64()),
-            ("p_size", pa.int32()), ("p_pos", pa.int32()),
-        ])
+        held, waiting, lead = None, 0, None
 
         def runs(table: pa.Table, before: bool, final: bool) -> pa.RecordBatch:
             """The last row waits for its successor, the first may only be a predecessor."""
+            nonlocal lead
             token, salt, nid, size, pos = (
                 table.column(c).to_numpy() for c in ("token", "salt", "nid", "size", "pos")
             )
             same = np.zeros(len(token) + 1, bool)
             same[1:-1] = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
-            first = 1 if before else 0
+            # The run's first row; that of the run at the start may have gone by before.
+            start = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(token))))
+            own = np.stack([nid, size.astype(np.int64), pos.astype(np.int64)])
+            heads = own[:, start]
+            if before:
+                heads[:, start == 0] = lead[:, None]
             last = len(token) if final else len(token) - 1
+            lead = heads[:, max(len(token) - 2, 0)].copy()
             keep = np.zeros(len(token), bool)
+            first = 1 if before else 0
             keep[first:last] = (same[:-1] | same[1:] | (salt >= 0))[first:last]
             at = np.flatnonzero(keep)
-            prev = np.maximum(at - 1, 0)
-            none = ~same[at]
-            cols = [token[at], salt[at], nid[at], size[at], pos[at]]
-            arrays = [pa.array(c) for c in cols] + [pa.nulls(len(at), pa.int64())]
-            arrays += [pa.array(c[prev], mask=none) for c in (nid, size, pos)]
+            previous, none = own[:, np.maximum(at - 1, 0)], ~same[at]
+            arrays = [pa.array(c[at]) for c in (token, salt, nid, size, pos)]
+            arrays += [pa.nulls(len(at), pa.int64())]
+            arrays += [pa.array(c, t, mask=none) for c, t in zip(heads[:, at], (pa.int64(), pa.int32(), pa.int32()))]
+            arrays += [pa.array(c, t, mask=none) for c, t in zip(previous, (pa.int64(), pa.int32(), pa.int32()))]
             return pa.RecordBatch.from_arrays(arrays, schema=out)
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            alone = table.filter(pc.is_null(table.column("salt")))
+            alone = table.filter(pc.is_null(table.column("salt"))).combine_chunks()
             if len(alone):
-                filled = [alone.column(c).combine_chunks() for c in names]
-                filled += [pa.nulls(len(alone), t) for t in (pa.int64(), pa.int32(), pa.int32())]
-                yield pa.RecordBatch.from_arrays(filled, schema=out)
+                kept = [alone.column(i).combine_chunks() for i in range(6)]
+                kept += [pa.nulls(len(alone), f.type) for f in list(out)[6:]]
+                yield pa.RecordBatch.from_arrays(kept, schema=out)
             table = table.filter(pc.is_valid(table.column("salt")))
             if held is not None:
                 table = pa.concat_tables([held, table])
@@ -193,7 +203,7 @@ def _members(postings: DataFrame) -> DataFrame:
     n = task_partitions(postings.sparkSession)
     return (
         postings.repartition(n, "token", "salt")
-        .sortWithinPartitions("token", "salt", "size", "nid")
+        .sortWithinPartitions("token", "salt", "pos", "nid")
         .mapInArrow(stream, MEMBER)
     )
 
@@ -238,10 +248,11 @@ def may_reach(x: np.ndarray, y: np.ndarray, need: int, depth: int = 3) -> bool:
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``percent`` or more."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-    texts = stored(
-        docs.select("nid", "text").join(wanted, "nid").dropDuplicates(["nid"]), "join-texts"
-    )
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "wanted")
+    few = wanted.count() <= BROADCAST_KEYS
+    wanted = F.broadcast(wanted) if few else wanted
+    texts = docs.select("nid", "text").join(wanted, "nid", "left_semi")
+    texts = stored(texts.dropDuplicates(["nid"]), "join-texts")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(spaces(), fold_ascii())
@@ -334,12 +345,13 @@ def similar_groups(
 
     Shingles are ordered rarest first by counters over the whole corpus; each row sends the
     prefix any similar set must meet. A run of rows with the same prefix shingle is not
-    compared pair by pair: each row first meets the run's most connected row and its
-    neighbour by size, and after the links found so far are closed to components, the
-    rounds go on with the most connected row of another component. At the end all pairs of
-    a run that are still in different components, pass the length and positional filters
-    and have not been verified are verified, so no link between components is lost. Pairs
-    within a component need no check.
+    compared pair by pair: each row first meets the run's first row, which holds the shingle
+    earliest, and its predecessor. After the links found are closed to components, runs that
+    still hold very many pairs of different components go on with the first row of each
+    other component, as long as that finds links. Then all pairs of a run that are in
+    different components, pass the length and positional filters and have not been verified
+    are verified, so no link between components is lost. Pairs within a component need no
+    check.
     """
     base = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
@@ -347,76 +359,72 @@ def similar_groups(
     )
     counts = shingle_counts(base, k)
     found = stored(_members(_postings(base, counts, k, percent)), "members")
-    sizes = found.where("salt is null").select("nid", "doc_id", F.col("size").alias("n_shingles"))
-    runs = found.where("salt is not null").select("token", "nid", "size", "pos", "p_nid", "p_size", "p_pos")
-    weight = runs.groupBy("nid").agg(F.count(F.lit(1)).alias("w"))
-    members = stored(runs.join(weight, "nid"), "members")
-
-    def meet(df: DataFrame) -> DataFrame:
-        """Each row of a run with the run's most connected row."""
-        top = stored(
-            df.groupBy("token").agg(
-                F.max(F.struct("w", "nid", "size", "pos")).alias("top"), F.count(F.lit(1)).alias("n")
-            ).where("n > 1").select(
-                "token", F.col("top.nid").alias("o_nid"), F.col("top.size").alias("o_size"),
-                F.col("top.pos").alias("o_pos"),
-            ),
-            "tops",
+    sizes = found.where("salt IS NULL").select("nid", "doc_id", F.col("size").alias("n_shingles"))
+    runs = found.where("salt IS NOT NULL")
+    members = runs.select("token", "nid", "size", "pos")
+    met = runs.where("p_nid IS NOT NULL")
+
+    def pair(df: DataFrame, other: str) -> DataFrame:
+        return df.select(
+            "nid", "size", "pos",
+            *[F.col(f"{other}_{c}").alias(f"o_{c}") for c in ("nid", "size", "pos")],
         )
-        return df.select("token", "nid", "size", "pos", *extra(df)).join(top, "token")
 
-    def extra(df: DataFrame) -> list[str]:
-        return [c for c in ("label", "w") if c in df.columns]
-
-    chain = members.where("p_nid is not null").select(
-        "nid", "size", "pos", F.col("p_nid").alias("o_nid"), F.col("p_size").alias("o_size"),
-        F.col("p_pos").alias("o_pos"),
+    # The first rows of the parts of a hot shingle meet the first of all.
+    parts = runs.where("salt >= 0 AND p_nid IS NULL")
+    tops = parts.groupBy("token").agg(F.min(F.struct("pos", "nid", "size")).alias("o"))
+    tops = parts.join(tops, "token").select(
+        "nid", "size", "pos", F.col("o.nid").alias("o_nid"), F.col("o.size").alias("o_size"),
+        F.col("o.pos").alias("o_pos"),
     )
-    star = meet(members).select("nid", "size", "pos", "o_nid", "o_size", "o_pos")
-    tried = stored(_pairs(chain.union(star), percent), "tried")
+    tried = stored(_pairs(pair(met, "f").union(pair(met, "p")).union(tops), percent), "tried")
     links = stored(verified(tried, base, k, percent), "links")
-    labels = None
+    labels = components(links)
     for turn in range(STAR_ROUNDS + 1):
-        labels = stored(components(links), "labels") if not links.isEmpty() else None
-        now = members.select("token", "nid", "size", "pos", "w")
-        now = (
-            now.withColumn("label", F.col("nid")) if labels is None
-            else now.join(labels.withColumnRenamed("node", "nid"), "nid", "left")
-            .withColumn("label", F.coalesce("component", "nid")).drop("component")
-        )
+        named = members.join(labels.withColumnRenamed("node", "nid"), "nid", "left")
+        now = named.withColumn("label", F.coalesce("component", "nid")).drop("component")
         now = stored(now, "members")
+        first = F.min(F.struct("pos", "nid", "size")).alias("o")
         mixed = stored(
-            now.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-            .where("lo != hi").select("token"), "mixed",
+            now.groupBy("token", "label").agg(F.count(F.lit(1)).alias("n"), first)
+            .groupBy("token").agg(
+                F.min(F.struct("o", "label")).alias("top"), F.count(F.lit(1)).alias("labels"),
+                ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("left"),
+            ).where("labels > 1"), "mixed",
         )
+        left, runs_left = mixed.agg(F.sum("left"), F.count(F.lit(1))).first()
         now = now.join(mixed, "token")
-        if turn == STAR_ROUNDS:
-            pairs = _cross_pairs(now, percent)
-        else:
-            # The most connected row of the run, met by the rows of other components.
-            joined = meet(now)
-            marks = now.select(F.col("nid").alias("o_nid"), F.col("label").alias("o_label")).distinct()
-            joined = joined.join(marks, "o_nid").where("label != o_label")
-            pairs = _pairs(joined, percent)
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn == STAR_ROUNDS:
-                break
-            continue
-        more = stored(verified(pairs, base, k, percent), "links")
-        tried = tried.union(pairs)
-        if not more.isEmpty():
-            links = links.union(more)
-        if turn == STAR_ROUNDS:
-            labels = components(links) if not links.isEmpty() else None
+        more = None
+        if turn < STAR_ROUNDS and (left or 0) > CROSS_PER_ROW * max(runs_left, 1000):
+            top = now.select(
+                "nid", "size", "pos", F.col("top.o.nid").alias("o_nid"),
+                F.col("top.o.size").alias("o_size"), F.col("top.o.pos").alias("o_pos"),
+            ).where("label != top.label")
+            more, tried = _new_links(_pairs(top, percent), tried, base, k, percent)
+        if more is None:  # all that is left
+            more, tried = _new_links(_cross_pairs(now, percent), tried, base, k, percent)
+            if more is not None:
+                labels = components(links.union(more))
+            break
+        links = links.union(more)
+        labels = components(links)
     return _with_least_id(sizes, labels)
 
 
-def _with_least_id(sizes: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _new_links(
+    pairs: DataFrame, tried: DataFrame, base: DataFrame, k: int, percent: int
+) -> tuple[DataFrame | None, DataFrame]:
+    """The links among pairs not tried before, None if there is none; all pairs tried."""
+    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    if pairs.isEmpty():
+        return None, tried
+    links = stored(verified(pairs, base, k, percent), "links")
+    return (None if links.isEmpty() else links), tried.union(pairs)
+
+
+def _with_least_id(sizes: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows with their group and its least doc_id."""
-    if labels is None:
-        return sizes.withColumn("group", F.col("nid")).withColumn("component_id", F.col("doc_id"))
-    nodes = stored(labels.withColumnRenamed("node", "nid"), "labels")
+    nodes = labels.withColumnRenamed("node", "nid")
     least = stored(
         nodes.join(sizes.groupBy("nid").agg(F.min("doc_id").alias("doc_id")), "nid")
         .groupBy("component").agg(F.min("doc_id").alias("component_id")), "least",
