@@ -8,6 +8,7 @@ file is spread over many tasks.
 from __future__ import annotations
 
 import json
+import logging
 import re
 import time
 from collections.abc import Iterator
@@ -26,6 +27,7 @@ from pyspark.sql.datasource import (
 
 from eventflow.schema import EVENT_SCHEMA
 
+log = logging.getLogger(__name__)
 FORMAT = "growing_files"
 BYTE_OFFSET_HEADER = "byteoffset"  # fixed value
 BLOCK = 1 << 16
@@ -71,13 +73,21 @@ class _Settings:
         self.range_bytes = int(options.get("rangebytes", DEFAULT_RANGE))
         self.state_path = options.get("statepath") or None
 
-    def files(self) -> list[dict]:
-        """Matching files of every group, oldest first."""
+    def files(self, known: set[int] = frozenset()) -> list[dict]:
+        """Matching files of every group, oldest first.
+
+        A file whose inode is ``known`` belongs to its group under a name that does not
+        match, too: it was rotated.
+        """
         found = {}
         for group, (directory, pattern) in self.groups.items():
             fs, base = _filesystem(directory)
             for info in fs.get_file_info(pafs.FileSelector(base, recursive=False, allow_not_found=True)):
-                if info.type == pafs.FileType.File and pattern.fullmatch(info.base_name):
+                if info.type != pafs.FileType.File:
+                    continue
+                inode = _inode(fs, info.path)
+                matches = pattern.fullmatch(info.base_name) is not None
+                if matches or (inode and inode in known):
                     found.setdefault(
                         info.path,
                         {
@@ -85,7 +95,8 @@ class _Settings:
                             "uri": directory,
                             "size": info.size,
                             "mtime": info.mtime_ns or 0,
-                            "inode": _inode(fs, info.path),
+                            "inode": inode,
+                            "rotated": not matches,
                             "group": group,
                         },
                     )
@@ -132,10 +143,16 @@ def render_positions(offset: dict) -> str:
 
 
 def _begin(f: dict, known: dict, skip_to_end: bool) -> tuple[int, int]:
-    """(position, epoch) to resume at: same path and inode, and the file has not shrunk."""
+    """(position, epoch) to resume at: same path and inode, and the file has not shrunk.
+
+    A rotated file goes on where it was; a file renamed to another matching name is new.
+    """
     seen = known.get(f["path"])
     if seen is None or seen[0] != f["inode"]:
-        return (f["size"] if skip_to_end else 0), 0
+        same = [e for e in known.values() if f["rotated"] and e[0] == f["inode"]]
+        if not same:
+            return (f["size"] if skip_to_end else 0), 0
+        seen = max(same, key=lambda e: (e[2], e[1]))
     return (0, seen[2] + 1) if f["size"] < seen[1] else (seen[1], seen[2])
 
 
@@ -157,7 +174,7 @@ def _last_line_end(path: str, uri: str, begin: int, size: int) -> int:
 def _advance(settings: _Settings, known: dict, skip_to_end: bool) -> dict:
     """New positions of all files, given the known ones."""
     now, out = time.time_ns(), {}
-    for f in settings.files():
+    for f in settings.files({e[0] for e in known.values()}):
         begin, epoch = _begin(f, known, skip_to_end)
         end = begin
         if f["size"] > begin:
@@ -169,15 +186,24 @@ def _advance(settings: _Settings, known: dict, skip_to_end: bool) -> dict:
 
 def _plan(settings: _Settings, known: dict, target: dict) -> list[ByteRange]:
     """Byte ranges between two positions, cut at ``range_bytes``."""
-    by_path = {f["path"]: f for f in settings.files()}
+    files = settings.files({e[0] for e in target.values()})
+    by_path, by_inode = {f["path"]: f for f in files}, {f["inode"]: f for f in files}
     ranges = []
     for path, (inode, end, epoch) in target.items():
         f = by_path.get(path)
-        if f is None:
-            continue
+        if f is None or f["inode"] != inode:
+            f = by_inode.get(inode) if inode else None  # rotated since
         seen = known.get(path)
+        if f is not None and f["rotated"] and (seen is None or seen[0] != inode):
+            seen = next((e for e in known.values() if e[0] == inode), None)
         begin = seen[1] if seen and (seen[0], seen[2]) == (inode, epoch) else 0
-        headers = settings.headers_of(f)
+        if begin >= end:
+            continue
+        if f is None or f["size"] < end:
+            # Nothing can bring these bytes back; what is in the file now comes next.
+            log.warning("%s: bytes %s to %s are gone, the file was removed or cut", path, begin, end)
+            continue
+        path, headers = f["path"], settings.headers_of(f)
         for start in range(begin, end, settings.range_bytes):
             stop = min(start + settings.range_bytes, end)
             ranges.append(ByteRange(path, begin, start, stop, end, {"u": f["uri"], "h": headers}))
@@ -234,7 +260,7 @@ def _read_range(part: ByteRange, byte_offset: bool) -> Iterator[pa.RecordBatch]:
         while offset < part.end and base < part.stop:
             block = handle.read(min(READ_BYTES, part.end - offset))
             if not block:
-                break
+                raise OSError(f"{part.path} was cut while it was read; the batch is planned again")
             offset += len(block)
             cut = block.rfind(b"\n") + 1
             if not cut:
@@ -372,8 +398,10 @@ def read_tail(
     """Events from files that grow: ``groups={name: (folder, file-name pattern)}``.
 
     An unterminated last line waits for its newline, or for ``idle_seconds`` without a
-    change. A position holds while path and inode match; a file that shrank restarts
-    at 0. ``positions`` (JSON list) seeds the start of a new query; ``state_path`` keeps
+    change. A position holds while path and inode match; a file that shrank restarts at 0. A
+    file rotated to a name that does not match is read to its end, the new file from 0. A
+    file that is cut while it is read fails the batch; lines removed before they were read
+    are logged. ``positions`` (JSON list) seeds the start of a new query; ``state_path`` keeps
     the committed positions, so a restarted stream also remembers unfinished lines it
     has delivered. Folders must be reachable from every executor (a shared mount or an
     Arrow file-system URI).

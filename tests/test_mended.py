@@ -184,3 +184,31 @@ def test_equal_events_spread_over_a_buckets_files(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = list((tmp_path / "b").rglob("part-*"))
     assert len(files) > 1
+
+
+def test_rotation_between_plan_and_read(tmp_path):
+    from eventflow.sources import tail
+
+    log = tmp_path / "a.log"
+    log.write_text("one\ntwo\n")
+    settings = tail._Settings(tail._options({"g": (tmp_path.as_uri(), r"a\.log")}, None, None, False, False, None, None, 1 << 20, None))
+
+    def lines(known, target):
+        out = []
+        for part in tail._plan(settings, known, target):
+            for batch in tail._read_range(part, False):
+                out += [b.decode() for b in batch.column("body").to_pylist()]
+        return out
+
+    first = tail._advance(settings, {}, False)
+    log.rename(tmp_path / "a.log.1")
+    log.write_text("new\n")
+    assert lines({}, first) == ["one", "two"]  # from the rotated file
+    with (tmp_path / "a.log.1").open("a") as old:
+        old.write("late\n")
+    second = tail._advance(settings, first, False)
+    assert sorted(lines(first, second)) == ["late", "new"]
+    assert lines(second, tail._advance(settings, second, False)) == []
+    log.write_text("")  # cut before it was read
+    third = {**second, str(log): [second[str(log)][0], 400, 0]}
+    assert lines(second, third) == []
