@@ -137,6 +137,17 @@ def jdbc_template(
     run_batches(template.bindings(df), connect, template.sql, batch_size)
 
 
+def jdbc_generated(
+    df: DataFrame,
+    generate: Callable[[DataFrame], tuple[str, DataFrame]],
+    connect: Callable[[], object],
+    batch_size: int = BATCH,
+) -> None:
+    """Run the statement that ``generate`` makes for the events, once per row it returns."""
+    statement, rows = generate(df)
+    run_batches(rows, connect, statement, batch_size)
+
+
 def upsert_statement(table: str, columns: list[str], keys: list[str], placeholder: str = "?") -> str:
     """Insert, or update the non-null fields of the existing row."""
     values = ", ".join(placeholder for _ in columns)

@@ -60,12 +60,21 @@ def carry_over(failed: DataFrame, next_batch: DataFrame) -> DataFrame:
 
 
 def to_index_documents(
-    df: DataFrame, prefix: str, doc_type: str = "log", keep: tuple[str, ...] = (), **options
+    df: DataFrame,
+    prefix: str,
+    doc_type: str = "log",
+    keep: tuple[str, ...] = (),
+    index: Column | None = None,
+    **options,
 ) -> DataFrame:
-    """Events to ``(index, type, document)`` for a search index."""
+    """Events to ``(index, type, document)`` for a search index.
+
+    ``index`` replaces the name built from ``prefix`` and the event's time.
+    """
+    name = index if index is not None else index_name(prefix, F.col("headers"), **options)
     return df.select(
         *keep,
-        index_name(prefix, F.col("headers"), **options).alias("index"),
+        name.alias("index"),
         bucket_path(doc_type, F.col("headers")).alias("type"),
         F.col("body").cast("string").alias("document"),
     )

@@ -128,12 +128,14 @@ def decode_dataset(
     codec: str = "json",
     literal_header: str = LITERAL_HEADER,
     url_header: str = URL_HEADER,
+    parser: Callable[[Column, str], Column] | None = None,
 ) -> DataFrame:
     """Bodies decoded by the schema their header names, resolved to the table schema.
 
     ``writers`` maps a header value (URL or literal) to schema text; the URL header wins.
     Fields the table lacks are dropped, fields the writer lacks take their default.
-    Adds ``row`` (null when the event cannot be decoded). One pass, no grouping.
+    Adds ``row`` (null when the event cannot be decoded). One pass, no grouping. ``parser``
+    (body, schema text) -> struct replaces the codec; null is an event it cannot read.
     """
     h = F.col("headers")
     which = F.coalesce(h[url_header], h[literal_header])
@@ -150,7 +152,9 @@ def decode_dataset(
     # once per field and must not be parsed again for each.
     values = []
     for i, (key, (schema_text, writer)) in enumerate(readable.items()):
-        if codec == "avro":
+        if parser is not None:
+            value = parser(F.col("body"), schema_text)
+        elif codec == "avro":
             value = from_avro(F.col("body"), schema_text, {"mode": "PERMISSIVE"})
         else:
             options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
@@ -158,7 +162,7 @@ def decode_dataset(
                 F.col("body").cast("string"), writer.ddl + ", _corrupt string", options
             )
         values.append(F.when(which == key, value).alias(f"_v{i}"))
-    if codec == "json":
+    if codec == "json" and parser is None:
         values.append(F.try_parse_json(F.col("body").cast("string")).alias("_json"))
     staged = df.select("*", *values)
     target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
@@ -166,7 +170,7 @@ def decode_dataset(
     for i, (_, writer) in enumerate(readable.values()):
         value = F.col(f"_v{i}")
         decoded = value.isNotNull()
-        if codec == "json":
+        if codec == "json" and parser is None:
             decoded = decoded & value["_corrupt"].isNull()
             for n, kind, *_ in writer.fields:
                 if n in writer.required:

@@ -42,6 +42,9 @@ def topic_to_events(
     return df.select(*keep, keyed.alias("headers"), body_bytes(body, binary=True).alias("body"))
 
 
+SLICE_FAN, SLICE_LEVELS = 1000, 2
+
+
 def read_topic(spark, options: dict[str, str], streaming: bool = True) -> DataFrame:
     """Topic reader when the connector is on the classpath (``subscribe`` or
     ``subscribePattern``, ``maxOffsetsPerTrigger`` for batch bounds)."""
@@ -60,7 +63,8 @@ def dirty_reads(
 
     Arrival order is cut into slices of ``slice_width``, so one hot partition is spread
     over many tasks; the first record of each slice is compared with the last record
-    of the slice before it.
+    of the slice before it. Slices are joined in the same way, ``SLICE_FAN`` at a time, so
+    a hot key meets in one task only when few slices of it are left.
     """
     keys = list(keys)
     sliced = df.select(*keys, offset, arrival).withColumn(
@@ -75,11 +79,23 @@ def dirty_reads(
         F.min_by(offset, arrival).alias("_first"),
         F.max_by(offset, arrival).alias("_last"),
     )
-    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice"))
-    joined = per_slice.withColumn("_edge", (before > 0) & (before >= F.col("_first")))
-    return joined.groupBy(*keys).agg(
-        F.sum("_rows").alias("records"),
-        (F.sum("_inside") + F.count_if("_edge")).alias("dirty_reads"),
+    for _ in range(SLICE_LEVELS):
+        per_slice = _join_slices(
+            per_slice.withColumn("_group", F.floor(F.col("_slice") / F.lit(SLICE_FAN))), [*keys, "_group"]
+        ).withColumnRenamed("_group", "_slice")
+    joined = _join_slices(per_slice, keys)
+    return joined.select(*keys, F.col("_rows").alias("records"), F.col("_inside").alias("dirty_reads"))
+
+
+def _join_slices(slices: DataFrame, by: list[str]) -> DataFrame:
+    """Neighbouring slices made one; a first record not above the last one before counts."""
+    before = F.lag("_last").over(Window.partitionBy(*by).orderBy("_slice"))
+    edges = slices.withColumn("_edge", (before > 0) & (before >= F.col("_first")))
+    return edges.groupBy(*by).agg(
+        (F.sum("_inside") + F.count_if("_edge")).alias("_inside"),
+        F.sum("_rows").alias("_rows"),
+        F.min_by("_first", "_slice").alias("_first"),
+        F.max_by("_last", "_slice").alias("_last"),
     )
 
 

@@ -212,3 +212,31 @@ def test_rotation_between_plan_and_read(tmp_path):
     log.write_text("")  # cut before it was read
     third = {**second, str(log): [second[str(log)][0], 400, 0]}
     assert lines(second, third) == []
+
+
+def test_plugged_in_parts(spark, tmp_path):
+    from eventflow.sinks.databases import jdbc_generated
+    from eventflow.sinks.records import to_index_documents
+
+    df = events(spark, "7,x", "bad")
+    assert {r["index"] for r in to_index_documents(df, "p", index=F.lit("own")).collect()} == {"own"}
+
+    def parse(body, schema):
+        parts = F.split(body.cast("string"), ",")
+        row = F.struct(F.get(parts, F.lit(1)).alias("id"), F.get(parts, F.lit(0)).try_cast("int").alias("n"))
+        return F.when(F.size(parts) == 2, row)
+
+    named = df.withColumn("headers", F.create_map(F.lit("avro.schema.literal"), F.lit(RECORD)))
+    out = tables.decode_dataset(named, tables.RecordSchema.parse(RECORD), {RECORD: RECORD}, parser=parse)
+    assert [r.row for r in out.orderBy("body").collect()] == [("x", 7), None]
+    path = str(tmp_path / "db")
+    with sqlite3.connect(path) as db:
+        db.execute("CREATE TABLE t (b TEXT)")
+    jdbc_generated(
+        df.coalesce(1), lambda d: ("INSERT INTO t VALUES (?)", d.select(F.col("body").cast("string"))),
+        lambda: sqlite3.connect(path),
+    )
+    with sqlite3.connect(path) as db:
+        assert sorted(db.execute("SELECT b FROM t")) == [("7,x",), ("bad",)]
+    write_events(df, str(tmp_path / "own"), lambda d: F.upper(F.col("body").cast("string")))
+    assert {r.value for r in spark.read.text(str(tmp_path / "own")).collect()} == {"7,X", "BAD"}
