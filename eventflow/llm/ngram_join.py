@@ -246,11 +246,15 @@ def may_reach(x: np.ndarray, y: np.ndarray, need: int, depth: int = 3) -> bool:
     return most(x, y, depth) >= need
 
 
+def _sent_if_few(keys: DataFrame) -> DataFrame:
+    """Row keys to be broadcast if there are ``BROADCAST_KEYS`` at most, else joined."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``percent`` or more."""
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct(), "wanted")
-    few = wanted.count() <= BROADCAST_KEYS
-    wanted = F.broadcast(wanted) if few else wanted
+    wanted = _sent_if_few(wanted)
     texts = docs.select("nid", "text").join(wanted, "nid", "left_semi")
     texts = stored(texts.dropDuplicates(["nid"]), "join-texts")
 
@@ -457,7 +461,7 @@ def one_of_each(
         .distinct(), "gone",
     )
     keyed = docs.withColumn("__nid", row_key(id_column, text_column))
-    kept = keyed.join(gone, "__nid", "left_anti")
+    kept = keyed.join(_sent_if_few(gone), "__nid", "left_anti")
     equal = stored(
         groups.groupBy(F.col("nid").alias("__nid")).agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("__nid"), "equal-rows",
