@@ -61,8 +61,14 @@ def run_series(spark: SparkSession, checkpoint: str) -> int:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder, removed when the driver ends."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/eventflow-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
