@@ -88,12 +88,15 @@ def words_marks(text):
 def contamination(text, items, similarity=0.8, k=5):
     """{item id: best similarity} over all windows of an item's size."""
     words, out = words_marks(text), {}
+    known = {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
     for key, item in items:
         own = words_marks(item)
         n = len(own)
         if n < k:
             continue
         want = Counter(tuple(own[i : i + k]) for i in range(n - k + 1))
+        if not known & want.keys():
+            continue
         for s in range(len(words) - n + 1):
             have = Counter(tuple(words[i : i + k]) for i in range(s, s + n - k + 1))
             low, high = sum((want & have).values()), sum((want | have).values())

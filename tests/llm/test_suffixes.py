@@ -34,18 +34,16 @@ def check(spark, rows, **options):
     assert have == sorted(((k, *w) for (k, _), w in zip(rows, want)), key=repr)
 
 
-@pytest.mark.parametrize("group_rows", [8192, 3])
-def test_against_every_string(spark, group_rows):
+@pytest.mark.parametrize("group_rows, small", [(8192, 128), (8192, 2), (3, 128)])
+def test_against_every_string(spark, monkeypatch, group_rows, small):
+    """By suffix order, by hashes within a task, and by shuffled windows."""
+    monkeypatch.setattr(suffixes, "SMALL", small)
     check(spark, hard_rows(), group_rows=group_rows)
 
 
-def test_other_length(spark):
-    check(spark, hard_rows()[:12], length=64)
-
-
-def test_long_text_in_parts(spark, monkeypatch):
+def test_other_length_and_long_texts_in_parts(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK", 1000)
-    check(spark, hard_rows()[:12])
+    check(spark, hard_rows()[:12], length=100)
 
 
 def test_table(spark):
