@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from eventflow.llm.common import row_key, stored
 
 
+# Repeats that are sent to all tasks at most: documents, and windows in them.
+SENT_ROWS, SENT_PLACES = 400_000, 4_000_000
+
+
 def line_windows(lines: list[bytes], run: int) -> list[tuple[bytes, bytes, int, bool]]:
     """Each window of ``run`` lines: (fingerprint, digest, start, whether a new fingerprint).
 
@@ -95,6 +99,9 @@ def drop_repeated_runs(
         .where("place != first").groupBy("key").agg(F.sort_array(F.collect_set("start")).alias("__run_starts"))
     )
     later = stored(later, "line-repeats")
+    n, places = later.agg(F.count(F.lit(1)), F.sum(F.size("__run_starts"))).first()
+    if n <= SENT_ROWS and (places or 0) <= SENT_PLACES:
+        later = F.broadcast(later)  # else documents and repeats are shuffled by key
     schema = T.StructType(
         [f for f in rows.schema if f.name != "__run_key"]
         + [T.StructField(c, T.LongType()) for c in ("n_lines", "n_removed", "n_runs")]
