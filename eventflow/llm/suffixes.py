@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from eventflow.llm.common import row_key, stored, task_partitions, utf8_column
 from eventflow.llm.hashing import CHUNK, Powers, byte_codes, mix
 
 HEAD = 32
+SMALL = 128  # rows of a head compared by suffix order and left contexts
 GROUP_ROWS = 8192  # suffixes of one head sorted in one task; beyond, windows are shuffled
 
 
@@ -86,91 +88,152 @@ def sampled_starts(
         row += 1
 
 
-def multikey_order(keys: np.ndarray) -> np.ndarray:
+def multikey_order(keys: np.ndarray, group: np.ndarray | None = None) -> np.ndarray:
     """Order of fixed-width byte strings by multikey quicksort, eight bytes at a time.
 
-    ``keys`` holds them as rows of big-endian words; each pass sorts the runs that are
-    still equal by their next word.
+    ``keys`` holds them as rows of big-endian words, ``group`` (ascending) the rows to be
+    sorted among themselves. Each pass partitions all runs that are still equal by their
+    next word; runs of one row are done.
     """
-    order = np.arange(len(keys))
-    runs = [(0, len(keys), 0)] if len(keys) > 1 else []
-    while runs:
-        a, b, depth = runs.pop()
-        word = keys[order[a:b], depth]
-        by = np.argsort(word, kind="stable")
-        order[a:b] = order[a:b][by]
-        if depth + 1 < keys.shape[1]:
-            word = word[by]
-            cuts = np.append(np.flatnonzero(np.append(True, word[1:] != word[:-1])), b - a)
-            runs += [
-                (a + i, a + j, depth + 1) for i, j in zip(cuts[:-1], cuts[1:]) if j - i > 1
-            ]
+    n = len(keys)
+    order = np.arange(n)
+    run = np.zeros(n, np.int64) if group is None else np.cumsum(np.append(0, group[1:] != group[:-1]))
+    at = order
+    for depth in range(keys.shape[1] + 1):
+        cut = np.append(True, run[1:] != run[:-1])
+        equal = ~(cut & np.append(cut[1:], True))
+        at, run = at[equal], run[equal]
+        if not len(at) or depth == keys.shape[1]:
+            break
+        word = keys[order[at], depth]
+        by = np.lexsort((word, run))
+        order[at] = order[at][by]
+        word = word[by]
+        run = np.cumsum(np.append(0, (run[1:] != run[:-1]) | (word[1:] != word[:-1])))
     return order
 
 
 def common_prefix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of each pair of rows of bytes."""
-    differ = x != y
-    return np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+    """Length of the common prefix of each pair of rows; bytes as little-endian words."""
+    apart = x ^ y
+    differ = apart != 0
+    first = differ.argmax(axis=1)
+    word = apart[np.arange(len(x)), first]
+    low = word & (~word + np.uint64(1))  # its lowest set bit
+    byte = (np.frexp(low.astype(np.float64))[1] - 1) // 8
+    return np.where(differ[np.arange(len(x)), first], first * 8 + byte, x.shape[1] * 8)
+
+
+def padded(values: list[bytes] | pa.Array, width: int, backward: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as rows of zero-padded words, and their lengths; maybe last byte first."""
+    data, offsets = utf8_column(values)
+    size = np.diff(offsets)
+    columns = -(-width // 8) * 8
+    out = np.zeros((len(size), columns), np.uint8)
+    if len(data):
+        j = np.arange(columns)
+        for a in range(0, len(size), 4096):
+            n = size[a : a + 4096, None]
+            begin = offsets[a : a + 4096][:, None] if len(n) == 4096 else offsets[a:-1][:, None]
+            place = begin + n - 1 - j if backward else begin + j
+            inside = j < n
+            out[a : a + 4096] = np.where(inside, data[np.clip(place, 0, len(data) - 1)], 0)
+    return out, size
 
 
 def repeated_spans(
-    left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, length: int
+    left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray,
+    group: np.ndarray, length: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes with one head: how far left and right of each start repeats reach.
+    """How far left and right of each suffix start repeats of ``length`` bytes reach.
 
-    ``left`` holds the ``length - HEAD`` bytes before each start, last one first, ``right``
-    the ``length`` bytes from it; ``n_left`` and ``n_right`` say how many of them exist.
-    A string of ``length`` bytes through the start is a repeat if another row of the group
-    has it at the same place. Returns (bytes to the left, bytes to the right), -1 where
-    there is none.
+    Rows of one ``group`` (ascending) have equal heads. ``left`` holds the ``length - HEAD``
+    bytes before each start, last one first, ``right`` the ``length`` bytes from it, both
+    padded; ``n_left`` and ``n_right`` say how many of them exist. A string of ``length``
+    bytes through the start is a repeat if another row of the group has it at the same
+    place. Returns (bytes to the left, bytes to the right), -1 where there is none.
+
+    Rows are put in suffix order. What two rows share to the right is the least common
+    prefix of neighbours between them, so only left contexts are compared, for rows ever
+    further apart. Groups over ``SMALL`` rows go by hashes of their strings instead.
     """
-    m, width = len(left), length - HEAD + 1
-    padded = np.zeros((m, -(-length // 8) * 8), np.uint8)
-    padded[:, :length] = right
-    order = multikey_order(padded.view(">u8").astype(np.uint64))
-    left, right, n_left, n_right = left[order], right[order], n_left[order], n_right[order]
-    # Longest right match of each suffix: with a neighbour in suffix order.
-    lcp = np.minimum(common_prefix(right[1:], right[:-1]), np.minimum(n_right[1:], n_right[:-1]))
-    reach = np.maximum(np.append(0, lcp), np.append(lcp, 0))
-    lo, hi = np.full(m, -1, np.int64), np.full(m, -1, np.int64)
-    if m == 2:
-        l = min(int(common_prefix(left[1:], left[:-1])[0]), *n_left.tolist())
-        if l + lcp[0] >= length:
-            lo[:], hi[:] = min(l, length - HEAD), lcp[0]
-    else:
-        # Strings with o bytes left of the start: equal hash of bytes, exact by comparison.
-        codes, powers = byte_codes(), Powers()
-        able = np.flatnonzero(reach + n_left >= length)
-        if len(able) > 1:
-            joined = np.concatenate([left[able][:, ::-1], right[able]], axis=1)
-            up, down = powers.upto(joined.shape[1])
-            sums = np.zeros((len(able), joined.shape[1] + 1), np.uint64)
-            for a in range(0, len(able), 512):
-                np.cumsum(
-                    codes[joined[a : a + 512]] * up[: joined.shape[1]], axis=1,
-                    out=sums[a : a + 512, 1:],
-                )
-            for o in range(width):
-                fits = np.flatnonzero((n_left[able] >= o) & (reach[able] >= length - o))
-                if len(fits) < 2:
-                    continue
-                at = width - 1 - o
-                h = mix((sums[fits, at + length] - sums[fits, at]) * down[at])
-                by = np.argsort(h, kind="stable")
-                same = h[by][1:] == h[by][:-1]
-                if same.any():
-                    i, j = fits[by][1:][same], fits[by][:-1][same]
-                    equal = (joined[i, at : at + length] == joined[j, at : at + length]).all(axis=1)
-                    rows = able[np.unique(np.concatenate([i[equal], j[equal]]))]
-                    lo[rows] = np.maximum(lo[rows], o)
-                    hi[rows] = np.maximum(hi[rows], length - o)
-            # Beyond ``length`` bytes to the right nothing is needed: later starts cover it.
-    back = np.empty(m, np.int64)
-    back[order] = np.arange(m)
+    order = multikey_order(right.view(">u8").astype(np.uint64), group)
+    left, right, group = left[order], right[order], group[order]
+    n_left, n_right = n_left[order], n_right[order]
+    n, most = len(order), length - HEAD
+    lo, hi = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    words, before = right.view("<u8").astype(np.uint64), left.view("<u8").astype(np.uint64)
+    lcp = np.zeros(n, np.int64)
+    if n > 1:
+        shared = np.minimum(common_prefix(words[1:], words[:-1]), np.minimum(n_right[1:], n_right[:-1]))
+        lcp[1:] = np.where(group[1:] == group[:-1], shared, 0)
+    start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    size = np.diff(np.append(start, n))
+    small = np.repeat(size <= SMALL, size)
+    reach = np.full(n, length)
+    for apart in range(1, min(SMALL, int(size.max(initial=0)))):
+        reach = np.minimum(reach[: n - apart], lcp[apart:])
+        able = small[: n - apart] & (reach >= HEAD)
+        able &= np.minimum(n_left[: n - apart], n_left[apart:]) + reach >= length
+        i = np.flatnonzero(able)
+        if not len(i):
+            if not (small[: n - apart] & (reach > 0)).any():
+                break
+            continue
+        for a in range(0, len(i), 8192):
+            x, y = i[a : a + 8192], i[a : a + 8192] + apart
+            l = np.minimum(common_prefix(before[x], before[y]), np.minimum(n_left[x], n_left[y]))
+            l = np.minimum(l, most)
+            good = l + reach[x] >= length
+            for rows in (x[good], y[good]):
+                lo[rows] = np.maximum(lo[rows], l[good])
+                hi[rows] = np.maximum(hi[rows], reach[x][good])
+    for a, m in zip(start[size > SMALL], size[size > SMALL]):
+        own = slice(a, a + m)
+        near = np.maximum(lcp[own], np.append(lcp[a + 1 : a + m], 0))
+        lo[own], hi[own] = _spans_by_hash(left[own], right[own], n_left[own], near, length)
+    back = np.empty(n, np.int64)
+    back[order] = np.arange(n)
     return lo[back], hi[back]
 
 
+def _spans_by_hash(
+    left: np.ndarray, right: np.ndarray, n_left: np.ndarray, reach: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``repeated_spans`` for one large group, in time linear in its rows.
+
+    For each number of bytes left of the start the strings are hashed and equal ones
+    compared; ``reach`` is the longest right match of a row with any other.
+    """
+    most = length - HEAD
+    lo, hi = np.full(len(left), -1, np.int64), np.full(len(left), -1, np.int64)
+    able = np.flatnonzero(reach + n_left >= length)
+    if len(able) < 2:
+        return lo, hi
+    codes, powers = byte_codes(), Powers()
+    joined = np.concatenate([left[able, :most][:, ::-1], right[able, :length]], axis=1)
+    up, down = powers.upto(joined.shape[1])
+    sums = np.zeros((len(able), joined.shape[1] + 1), np.uint64)
+    for a in range(0, len(able), 512):
+        part = codes[joined[a : a + 512]] * up[: joined.shape[1]]
+        np.cumsum(part, axis=1, out=sums[a : a + 512, 1:])
+    for o in range(most + 1):
+        fits = np.flatnonzero((n_left[able] >= o) & (reach[able] >= length - o))
+        if len(fits) < 2:
+            continue
+        at = most - o
+        h = mix((sums[fits, at + length] - sums[fits, at]) * down[at])
+        by = np.argsort(h, kind="stable")
+        same = h[by][1:] == h[by][:-1]
+        if same.any():
+            i, j = fits[by][1:][same], fits[by][:-1][same]
+            equal = (joined[i, at : at + length] == joined[j, at : at + length]).all(axis=1)
+            rows = able[np.unique(np.concatenate([i[equal], j[equal]]))]
+            lo[rows] = np.maximum(lo[rows], o)
+            hi[rows] = np.maximum(hi[rows], length - o)
+    return lo, hi
+
+
 def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of a union of ranges."""
     by = np.argsort(starts, kind="stable")
@@ -180,13 +243,15 @@ def _merge(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def repeat_spans(
-    docs: DataFrame, distinct: DataFrame, length: int, group_rows: int = GROUP_ROWS
+    rows: DataFrame, first: DataFrame, length: int, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
-    """(key, spans): byte ranges of each text of ``distinct`` that are covered by repeats.
+    """(key, spans): byte ranges of texts that are covered by repeats.
 
-    ``docs`` (key, text) may hold copies; ``distinct`` has one row of each different text.
+    ``rows`` (key, text and others) may hold copies; ``first`` has the key of one row of
+    each different text, and only for those ranges are found. The rows are joined with all
+    their columns, so a later join of the same rows by key can use the same shuffle.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     n = task_partitions(spark)
     before = length - HEAD
 
@@ -202,7 +267,7 @@ def repeat_spans(
                 )
 
     starts = stored(
-        docs.select("key", "text").mapInArrow(sample, "head long, key long, pos long"), "suffix-starts"
+        rows.select("key", "text").mapInArrow(sample, "head long, key long, pos long"), "suffix-starts"
     )
     heads = stored(
         starts.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-heads"
@@ -252,7 +317,7 @@ def repeat_spans(
                         names=["window", "key", "pos"],
                     )
 
-    marked = distinct.join(shared, "key").select("key", "text", "at")
+    marked = rows.join(shared.join(first, "key"), "key")
     found = _light(
         marked.mapInArrow(contexts, "key long, pos long, left binary, right binary, end long"),
         length, n,
@@ -279,49 +344,43 @@ def _light(contexts: DataFrame, length: int, n: int) -> DataFrame:
     into ranges at head boundaries, so a head's suffixes meet in one range."""
     before = length - HEAD
 
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[tuple] = []
-        head = None
-
-        def close() -> pa.RecordBatch | None:
-            if len(group) < 2:
-                return None
-            m = len(group)
-            left, right = np.zeros((m, before), np.uint8), np.zeros((m, length), np.uint8)
-            n_left, n_right = np.zeros(m, np.int64), np.zeros(m, np.int64)
-            for i, (_, _, a, b) in enumerate(group):
-                n_left[i], n_right[i] = len(a), len(b)
-                left[i, : len(a)] = np.frombuffer(a, np.uint8)[::-1]
-                right[i, : len(b)] = np.frombuffer(b, np.uint8)
-            lo, hi = repeated_spans(left, right, n_left, n_right, length)
-            good = lo >= 0
-            if not good.any():
-                return None
-            key = np.array([g[0] for g in group], np.int64)[good]
-            pos = np.array([g[1] for g in group], np.int64)[good]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(pos - lo[good]), pa.array(pos + hi[good])],
-                names=["key", "start", "end"],
-            )
+    def spans(table: pa.Table) -> pa.RecordBatch:
+        """Ranges of whole groups of rows in order of their heads."""
+        right, n_right = padded(table.column("right"), length, False)
+        left, n_left = padded(table.column("left"), before, True)
+        heads = right[:, :HEAD].copy().view(np.uint64)
+        group = np.cumsum(np.append(0, (heads[1:] != heads[:-1]).any(axis=1)))
+        lo, hi = repeated_spans(left, right, n_left, n_right, group, length)
+        good = lo >= 0
+        pos = table.column("pos").to_numpy()[good]
+        key = table.column("key").filter(pa.array(good)).combine_chunks()
+        return pa.RecordBatch.from_arrays(
+            [key, pa.array(pos - lo[good]), pa.array(pos + hi[good])], names=["key", "start", "end"]
+        )
 
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            names = ("key", "pos", "left", "right", "end")
-            own: list[tuple[int, int, int]] = []
-            for key, pos, left, right, end in zip(*(batch.column(c).to_pylist() for c in names)):
-                if end >= 0:
-                    own.append((key, pos, end))
-                    continue
-                if right[:HEAD] != head:
-                    if (out := close()) is not None:
-                        yield out
-                    group, head = [], right[:HEAD]
-                group.append((key, pos, left, right))
-            if own:
+            table = pa.Table.from_batches([batch])
+            known = pc.greater_equal(table.column("end"), 0)
+            whole = table.filter(known).combine_chunks()
+            if len(whole):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*own)], names=["key", "start", "end"]
+                    [whole.column(c).combine_chunks() for c in ("key", "pos", "end")],
+                    names=["key", "start", "end"],
                 )
-        if (out := close()) is not None:
-            yield out
+            table = table.filter(pc.invert(known))
+            table = table if held is None else pa.concat_tables([held, table])
+            if not len(table):
+                continue
+            # The last head may go on in the next batch.
+            heads = pc.binary_slice(table.column("right"), 0, HEAD)
+            last = pc.index(pc.equal(heads, heads[-1]), True).as_py()
+            if last:
+                yield spans(table.slice(0, last))
+            held = table.slice(last)
+        if held is not None and len(held):
+            yield spans(held)
 
     lead = F.substring("right", 1, HEAD)
     ranged = (
@@ -372,16 +431,11 @@ def remove_repeats(
         "suffix-classes",
     )
     # Texts that occur once, and one of each text that occurs again, are searched.
-    long_rows = rows.where(F.col("n_bytes") >= length).select("key", "text")
-    first = classes.select("key", F.lit(True).alias("first"))
-    distinct = long_rows.join(first, "key").select("key", "text")
-    spans = repeat_spans(long_rows, distinct, length, group_rows)
+    spans = repeat_spans(rows, classes.select("key"), length, group_rows)
     again = classes.where("copies > 1").select("digest")
     copied = slim.join(again, "digest").select("key").distinct()
-    spans = stored(
-        spans.join(copied, "key", "left_anti").select("key", "spans", F.lit(False).alias("whole"))
-        .union(copied.select("key", F.lit(None), F.lit(True))), "suffix-spans",
-    )
+    spans = spans.join(copied, "key", "left_anti").select("key", "spans", F.lit(False).alias("whole"))
+    spans = spans.union(copied.select("key", F.lit(None), F.lit(True)))
 
     out = "id {t}, n_bytes long, kept binary, n_removed long, n_spans long".format(
         t=docs.schema[id_column].dataType.simpleString()
@@ -414,5 +468,5 @@ def remove_repeats(
                 names=["id", "n_bytes", "kept", "n_removed", "n_spans"],
             )
 
-    joined = rows.join(spans, "key", "left").select("id", "text", "n_bytes", "spans", "whole")
+    joined = rows.join(spans, "key", "left")
     return joined.mapInArrow(keep, out).withColumnRenamed("id", id_column)
