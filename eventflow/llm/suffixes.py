@@ -391,11 +391,12 @@ def _light(contexts: DataFrame, length: int, n: int) -> DataFrame:
 
 
 def _heavy(windows: DataFrame, length: int) -> DataFrame:
-    """Ranges of heads too frequent for one task: their windows are counted by hash."""
-    windows = stored(windows.distinct(), "suffix-windows")
-    twice = stored(
-        windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-twice"
-    )
+    """Ranges of heads too frequent for one task: their windows are counted by hash.
+
+    Part of one plan with all else, so the texts are shuffled once for both.
+    """
+    windows = windows.distinct()
+    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return windows.join(twice, "window").select(
         "key", F.col("pos").alias("start"), (F.col("pos") + length).alias("end")
     )
