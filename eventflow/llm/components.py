@@ -11,8 +11,8 @@ from eventflow.llm.common import stored
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node in ``links`` (a, b); a component is its least node.
 
-    Each round takes the least label among a node's neighbours and then the label of that
-    label, so the longest path to a least node about halves. Labels are written to the
+    Each round takes the least label among a node's neighbours and then the label which that
+    label had, so paths to a least node grow by more each round. Labels are written to the
     shared folder each round. Null ends and loops are ignored; no links give no rows. Hot
     nodes only meet plain joins, which adaptive execution splits, and partial aggregates.
     """
@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         step = labels.join(near, "node").select(
             "node", F.col("component").alias("was"), F.least("component", "m").alias("c")
         )
-        jump = step.select(F.col("node").alias("c"), F.col("c").alias("further"))
+        jump = labels.select(F.col("node").alias("c"), F.col("component").alias("further"))
         after = stored(
             step.join(jump, "c").select(
                 "node", F.least("c", "further").alias("component"),
