@@ -39,29 +39,54 @@ def line_windows(lines: list[bytes], run: int) -> list[tuple[bytes, bytes, int,
     return out
 
 
+def long_windows(lines: list[bytes], run: int, words: int) -> list[tuple[bytes, int, int]]:
+    """Each window of fewer than ``run`` lines with more than ``words`` words: (digest, start, lines).
+
+    Words are split at spaces and 0x09-0x0D. Windows of different sizes have different digests.
+    """
+    from hashlib import blake2b
+
+    if run < 2 or sum(map(len, lines)) <= words:
+        return []
+    upto = np.cumsum([0, *(len(line.split()) for line in lines)])
+    out, hashes = [], {}
+    for n in range(1, min(run - 1, len(lines)) + 1):
+        for i in np.flatnonzero(upto[n:] - upto[:-n] > words).tolist():
+            for j in range(i, i + n):
+                if j not in hashes:
+                    hashes[j] = blake2b(lines[j], digest_size=16).digest()
+            whole = b"".join(hashes[j] for j in range(i, i + n))
+            out.append((blake2b(whole, digest_size=16).digest(), i, n))
+    return out
+
+
 def drop_repeated_runs(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, run: int = 3
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", *, run: int = 3,
+    long_words: int | None = None,
 ) -> DataFrame:
     """Delete later repeats of runs of ``run`` or more lines; the first one stays.
 
     A line goes if it lies in a run of ``run`` lines that also stands earlier: in a row
-    with a smaller id or further up in the same row. Adds ``n_lines``, ``n_removed`` (lines)
+    with a smaller id or further up in the same row. With ``long_words`` it also goes if it
+    lies in such a run of fewer lines that has more than ``long_words`` words in all (split
+    at spaces and 0x09-0x0D), so documents of fewer lines can lose lines too. Repeats of a
+    part of a line are not found. Adds ``n_lines``, ``n_removed`` (lines)
     and ``n_runs`` (maximal deleted runs) and replaces the text by its remaining lines,
     which is empty if all went. Null texts stay null with no line; an empty text is one
-    blank line; runs of blank lines only are kept, as are documents of fewer lines. Null ids
+    blank line; runs of blank lines only are kept, as are shorter runs. Null ids
     come last; rows with equal id and text are one place, so both stay; rows with equal id
     and other texts go by the key of the text. Other columns stay as they are; columns with
     the three added names are replaced. An empty table gives no rows.
 
     Fingerprints (least line hash of each window) that occur once are sorted out first.
     Positions of the others are joined by window; neighbouring windows extend a match both
-    ways.
+    ways. A window of fewer lines is its own fingerprint.
     """
     rows = docs.drop("n_lines", "n_removed", "n_runs").withColumn("__run_key", row_key(id_column, text_column))
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["fingerprint", "digest", "id", "key", "start", "new"]
-        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+        names = ["fingerprint", "digest", "id", "key", "start", "lines", "new"]
+        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
         for batch in batches:
             ids, keys = batch.column("id").to_pylist(), batch.column("key").to_pylist()
             out: list[tuple] = []
@@ -70,9 +95,14 @@ def drop_repeated_runs(
                     continue
                 lines = text.as_buffer().to_pybytes().split(b"\n")
                 out += [
-                    (mark, digest, ids[i], keys[i], start, new)
+                    (mark, digest, ids[i], keys[i], start, run, new)
                     for mark, digest, start, new in line_windows(lines, run)
                 ]
+                if long_words is not None:
+                    out += [
+                        (digest, digest, ids[i], keys[i], start, n, True)
+                        for digest, start, n in long_windows(lines, run, long_words)
+                    ]
                 if len(out) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                     out = []
@@ -81,7 +111,7 @@ def drop_repeated_runs(
 
     windows = stored(
         rows.select(F.col(id_column).cast("long").alias("id"), F.col("__run_key").alias("key"), F.col(text_column).alias("text"))
-        .mapInArrow(emit, "fingerprint binary, digest binary, id long, key long, start int, new boolean"),
+        .mapInArrow(emit, "fingerprint binary, digest binary, id long, key long, start int, lines int, new boolean"),
         "line-windows",
     )
     shared = stored(
@@ -94,9 +124,11 @@ def drop_repeated_runs(
         joined.groupBy("digest").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("digest", "first"), "line-firsts",
     )
+    coded = F.col("start").cast("long") * run + F.col("lines") - 1
     later = (
-        windows.select("digest", "key", "start", place.alias("place")).join(first, "digest")
-        .where("place != first").groupBy("key").agg(F.sort_array(F.collect_set("start")).alias("__run_starts"))
+        windows.select("digest", "key", "start", "lines", place.alias("place")).join(first, "digest")
+        .where("place != first").groupBy("key")
+        .agg(F.sort_array(F.collect_set(coded)).alias("__run_starts"))
     )
     later = stored(later, "line-repeats")
     n, places = later.agg(F.count(F.lit(1)), F.sum(F.size("__run_starts"))).first()
@@ -115,8 +147,8 @@ def drop_repeated_runs(
             for text, starts in zip(batch.column(text_column), batch.column("__run_starts")):
                 lines = text.as_py().split("\n") if text.is_valid else []
                 gone = np.zeros(len(lines) + 1, bool)
-                for s in starts.as_py() or ():
-                    gone[s : s + run] = True
+                for code in starts.as_py() or ():
+                    gone[code // run : code // run + code % run + 1] = True
                 n = int(gone.sum())
                 texts.append(
                     text.as_py() if not n else "\n".join(x for x, g in zip(lines, gone) if not g)
