@@ -257,7 +257,7 @@ def forest_nearest(
         _, first = np.unique(h, return_index=True)
         h, mid, score = h[first], mid[first], score[first]
         best = _best(score, mid, k)
-        short = len(h) < min(k, n) or (floor > 0 and counts[floor] < goal / 2)
+        short = len(h) < min(k, n) or (floor > 0 and counts[floor] < goal)
         return pd.DataFrame({
             "q": df["q"].iloc[0], "h": h[best], "mid": mid[best], "score": score[best], "short": short,
         })

@@ -102,3 +102,20 @@ def test_ascent_equals_scan():
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nearest(df, F.lit(True)).count() == 0
+
+
+def test_exact_way_for_queries_just_short_of_the_goal(spark, monkeypatch):
+    fit = forest.fit
+
+    def wide(*args, **options):
+        f = fit(*args, **options)
+        f.fraction, f.floor = 1.5, 1  # two trees meet about half of the rows each
+        return f
+
+    monkeypatch.setattr(forest, "fit", wide)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(nearest(df, F.col("vec_id") % 4 == 0, k=100, trees=2))
+    want = brute(rows, lambda i: i % 4 == 0, 100)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [j for _, j in v] for q, v in want.items()}
