@@ -259,24 +259,33 @@ def page_records(records: DataFrame) -> DataFrame:
 
     Columns: page_id, payload_bytes, payload_digest (bare hex), record_type, refers_to
     (page of the response for revisits), target_uri. Responses are measured on the payload
-    read; a revisit takes the values of the response it refers to.
+    read; a revisit takes the values of the response it refers to that has its digest header.
+    Without one any response of that page will do; without such a response they are null.
     """
     page = lambda c: F.expr(f"try_cast(nullif(substring({c}, 10), '') AS bigint)")
     meta = stored(
         records.select(
             page("record_id").alias("page_id"), "record_type", page("refers_to").alias("refers_to"),
             "target_uri", F.octet_length("payload").cast("long").alias("payload_bytes"),
-            F.sha2("payload", 256).alias("payload_digest"),
+            F.sha2("payload", 256).alias("payload_digest"), F.col("payload_digest").alias("said"),
         ),
         "warc-records",
     )
     first = meta.where("record_type = 'response'")
-    again = meta.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", "target_uri")
+    again = meta.where("record_type = 'revisit'").select(
+        "page_id", "record_type", "refers_to", "target_uri", F.coalesce("said", F.lit("")).alias("said"),
+    )
+    # Responses of one page id may hold different payloads; "" stands for any of them.
+    said = F.coalesce("said", F.concat(F.lit("sha256:"), F.col("payload_digest")))
     known = stored(
-        first.join(again.select(F.col("refers_to").alias("page_id")).distinct(), "page_id")
-        .select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest")
-        .dropDuplicates(["refers_to"]),
+        first.select(
+            F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest",
+            F.explode(F.array(said, F.lit(""))).alias("said"),
+        )
+        .join(again.select("refers_to", "said").distinct(), ["refers_to", "said"])
+        .groupBy("refers_to", "said").agg(F.min(F.struct("payload_digest", "payload_bytes")).alias("one"))
+        .select("refers_to", "said", "one.payload_digest", "one.payload_bytes"),
         "warc-known",
     )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri"]
-    return first.select(*columns).union(again.join(known, "refers_to", "left").select(*columns))
+    return first.select(*columns).union(again.join(known, ["refers_to", "said"], "left").select(*columns))

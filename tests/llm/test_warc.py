@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 from eventflow.llm.warc import RangeReader, encode_record, page_records, read_warc, write_warc
 
@@ -70,3 +71,24 @@ def test_ranges_own_each_record_once(tmp_path):
             for start in range(0, len(data), width):
                 found += [r["warc-record-id"] for _, r in RangeReader(f, start, min(start + width, len(data)), len(data), block=16)]
         assert found == [f"<urn:page:{i}>" for i in (0, 1, 2, 4)]  # 3 is cut short
+
+
+def test_revisits_of_repeated_ids(spark, tmp_path):
+    """Rows of one id hold different payloads; each revisit has its own one's size and digest."""
+    bodies = ["a" * 200, "b" * 300, "c" * 400]
+    pages = [(1, "u", b, "", 1) for b in bodies] + [(i + 2, "v", b, "", 1) for i, b in enumerate(bodies)]
+    write_warc(spark.createDataFrame(pages, PAGES), str(tmp_path / "warc"))
+    records = read_warc(spark, str(tmp_path / "warc"))
+    got = Counter(
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+        for r in page_records(records).collect()
+    )
+    assert got == brute(pages)
+    # A revisit without the header takes any response; one whose response is missing has nulls.
+    bare = records.where("record_type = 'response' OR record_id = 'urn:page:2'").withColumn(
+        "payload_digest", F.when(F.col("record_type") == "response", F.col("payload_digest"))
+    )
+    out = page_records(bare).where("record_type = 'revisit'").collect()
+    assert len(out) == 1 and out[0].payload_bytes in (200, 300, 400)
+    lost = page_records(records.where("record_type = 'revisit'")).collect()
+    assert [r.payload_bytes for r in lost] == [None] * 3
