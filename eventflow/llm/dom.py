@@ -26,7 +26,7 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 RAW = frozenset(
-    "script style textarea title noscript iframe template svg math noembed noframes object".split()
+    "script style textarea title iframe noembed noframes".split()
 )
 CLOSES_P = BLOCKS - {"button", "option", "optgroup", "legend", "caption"}
 # An element that ends an open one of the same kind, up to the nearest of its containers.
@@ -66,8 +66,9 @@ def leaf_blocks(page: str) -> list[Block]:
     """Runs of text between block boundaries, in page order.
 
     Character references are decoded, white space becomes single spaces, empty runs are
-    left out. Scripts, styles and other raw elements hold no text; missing end tags are
-    implied as in the standard; a line break inside a block counts as white space.
+    left out. Scripts, styles and other raw elements hold no text; one without its end tag
+    goes on to the end of the page. Formulas, drawings, objects, templates and noscript hold
+    text like other inline elements. Missing end tags are implied as in the standard; a line break inside a block counts as white space.
     """
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # (tag, attributes)

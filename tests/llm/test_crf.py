@@ -79,3 +79,15 @@ def test_edges(spark, model):
     assert [r.main_text for r in out[:2]] == ["", ""]
     assert out[3] == out[4] and out[2].main_text is not None
     assert crf.extract(spark.createDataFrame([], "html string"), model).count() == 0
+
+
+def test_only_raw_text_hides_the_rest(model):
+    texts = lambda page: [b.text for b in leaf_blocks(page)]
+    for tag in ("svg", "math", "object", "template", "noscript"):
+        assert texts(f"<p>a<{tag} x=1> b<p>c</p>d") == ["a b", "c", "d"]  # no end tag
+        assert texts(f"<p>a <{tag}>b</{tag}> c<p>d") == ["a b c", "d"]
+        assert leaf_blocks(f"<{tag}><div><p>a")[0].path == ("div", "p")
+        assert crf.main_text(PAGE.replace("<article>", f"<{tag}><article>"), model) == crf.main_text(PAGE, model)
+    assert texts("<p>a<style>b<p>c") == texts("<p>a<iframe>b</p>c") == ["a"]
+    page = PAGE.replace("text a lot", "text").replace("as it ends here", "as <math><mi>x</mi><mo>=</mo><mn>1</mn></math> ends here")
+    assert "Last paragraph of the text, as x=1 ends here." in crf.main_text(page, model)
