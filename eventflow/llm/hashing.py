@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+SECOND = 0xD1342543DE82EF95  # for hashes independent of the first ones
 CHUNK = 1 << 21  # bytes hashed at once
 
 
@@ -25,9 +25,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def byte_codes() -> np.ndarray:
+def byte_codes(base: int = BASE) -> np.ndarray:
     """A 64-bit code for each byte value."""
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
 
 
 def fold_ascii() -> np.ndarray:
@@ -55,13 +55,14 @@ def spaces_and_marks() -> np.ndarray:
 class Powers:
     """Powers of the base and of its inverse, grown on demand."""
 
-    def __init__(self) -> None:
-        self.n = 0
+    def __init__(self, base: int = BASE) -> None:
+        self.n, self.base = 0, base
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if n >= self.n:
             self.n = max(n + 1, CHUNK + 1)
-            up, down = np.full(self.n, BASE, np.uint64), np.full(self.n, INVERSE, np.uint64)
+            inverse = pow(self.base, -1, 1 << 64)
+            up, down = np.full(self.n, self.base, np.uint64), np.full(self.n, inverse, np.uint64)
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
         return self.up, self.down

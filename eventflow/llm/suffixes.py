@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.llm.common import row_key, stored, task_partitions, utf8_column
-from eventflow.llm.hashing import CHUNK, Powers, byte_codes, mix
+from eventflow.llm.hashing import CHUNK, SECOND, Powers, byte_codes, mix
 
 HEAD = 32
 SMALL = 128  # rows of a head compared by suffix order and left contexts
@@ -299,8 +299,9 @@ def repeat_spans(
                 )
 
     def windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hash of each string of ``length`` bytes that holds a start with a hot head."""
+        """Two hashes of each string of ``length`` bytes that holds a start with a hot head."""
         powers, codes = Powers(), byte_codes()
+        powers2, codes2 = Powers(SECOND), byte_codes(SECOND)
         for key_, data, at in _texts(batches):
             pos = np.array([x["pos"] for x in at if x["hot"]], np.int64)
             if not len(pos):
@@ -311,10 +312,11 @@ def repeat_spans(
                     d = min(c + CHUNK, b)
                     part = np.frombuffer(data[c : d - 1 + length], np.uint8)
                     h = window_hashes(part, length, powers, codes)
+                    h2 = window_hashes(part, length, powers2, codes2)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.view(np.int64)), pa.array(np.full(len(h), key_, np.int64)),
-                         pa.array(np.arange(c, d))],
-                        names=["window", "key", "pos"],
+                        [pa.array(h.view(np.int64)), pa.array(h2.view(np.int64)),
+                         pa.array(np.full(len(h), key_, np.int64)), pa.array(np.arange(c, d))],
+                        names=["window", "second", "key", "pos"],
                     )
 
     marked = rows.join(shared.join(first, "key"), "key")
@@ -323,7 +325,7 @@ def repeat_spans(
         length, n,
     )
     if not heads.where(F.col("n") > group_rows).isEmpty():
-        hot = marked.mapInArrow(windows, "window long, key long, pos long")
+        hot = marked.mapInArrow(windows, "window long, second long, key long, pos long")
         found = found.union(_heavy(hot, length))
     return found.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -391,13 +393,13 @@ def _light(contexts: DataFrame, length: int, n: int) -> DataFrame:
 
 
 def _heavy(windows: DataFrame, length: int) -> DataFrame:
-    """Ranges of heads too frequent for one task: their windows are counted by hash.
+    """Ranges of heads too frequent for one task: their windows are counted by two hashes.
 
     Part of one plan with all else, so the texts are shuffled once for both.
     """
     windows = windows.distinct()
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return windows.join(twice, "window").select(
+    twice = windows.groupBy("window", "second").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return windows.join(twice, ["window", "second"]).select(
         "key", F.col("pos").alias("start"), (F.col("pos") + length).alias("end")
     )
 

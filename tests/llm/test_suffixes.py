@@ -61,3 +61,16 @@ def test_multikey_quicksort():
     rows = rng.integers(0, 2, (500, 24)).astype(np.uint8)
     order = multikey_order(rows.view(">u8").astype(np.uint64))
     assert [rows[i].tobytes() for i in order] == sorted(r.tobytes() for r in rows)
+
+
+def test_windows_of_equal_first_hash_are_kept(spark, monkeypatch):
+    """Long windows with few values of the first hash are still told apart."""
+    hashes = suffixes.window_hashes
+
+    def weak(data, width, powers, codes):
+        h = hashes(data, width, powers, codes)
+        return h if width < 400 or getattr(powers, "base", None) == suffixes.SECOND else h & np.uint64(7)
+
+    monkeypatch.setattr(suffixes, "SECOND", getattr(suffixes, "SECOND", 0), raising=False)
+    monkeypatch.setattr(suffixes, "window_hashes", weak)
+    check(spark, hard_rows(), group_rows=3)
