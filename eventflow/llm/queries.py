@@ -9,9 +9,12 @@ from eventflow.llm import credentials, crf, langid
 from eventflow.llm.common import QUERIES, SQL, query, table
 from eventflow.llm.decontaminate import find_contamination
 from eventflow.llm.forest import nearest
+from eventflow.llm.hard_negatives import mine
 from eventflow.llm.lines import drop_repeated_runs
 from eventflow.llm.ngram_join import similar_groups
-from eventflow.llm.reports import LINES_SQL, MIX_SQL, WARC_SQL, mixed
+from eventflow.llm.packing import pack_documents
+from eventflow.llm.reports import LINES_SQL, MIX_SQL, NEGATIVES_SQL, RESAMPLE_SQL, WARC_SQL, mixed
+from eventflow.llm.resampling import resample
 from eventflow.llm.suffixes import remove_repeats
 from eventflow.llm.warc import page_records, read_warc, write_warc
 from eventflow.session import shared_dir
@@ -117,3 +120,23 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = similar_groups(table(spark, sf_dir, "documents"), k=4, percent=85)
     return groups.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op11_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokenized documents packed whole into sequences of 2,048 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), max_tokens=2048)
+
+
+@query("op12_importance_resampling", RESAMPLE_SQL)
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark."""
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector, labels of every seventh row moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)

@@ -129,3 +129,69 @@ FROM e GROUP BY doc_id
 UNION ALL
 SELECT doc_id, 0, 0, 0, NULL FROM documents WHERE text IS NULL
 """
+
+
+#: CRC-32 of each different word by eight steps of its register for each byte.
+RESAMPLE_SQL = r"""
+WITH texts AS (
+  SELECT 0 AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 1, item_id, text FROM benchmark
+), words AS (
+  SELECT side, id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM texts
+), distinct_words AS (
+  SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)
+), codes AS (
+  SELECT w, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(0, length(h) // 2),
+      lambda i: 16 * (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1)
+              + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1)),
+    lambda reg, b: list_reduce([xor(reg, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 10000 AS bucket
+  FROM distinct_words
+), counts AS (
+  SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+  FROM words JOIN codes USING (w) GROUP BY bucket
+), totals AS (SELECT sum(s)::DOUBLE AS sa, sum(t)::DOUBLE AS ta FROM counts), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1.0::DOUBLE) * (sa + 10000) / ((s + 1.0::DOUBLE) * (ta + 10000))))::BIGINT AS gain
+  FROM counts, totals
+), weighed AS (
+  SELECT id, count(*) AS n, sum(gain)::BIGINT AS weight
+  FROM words JOIN codes USING (w) JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weighed ON id = doc_id
+), able AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN able USING (doc_id)
+"""
+
+NEGATIVES_SQL = """
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM part a JOIN part c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS negative_id, positive_score,
+  score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
