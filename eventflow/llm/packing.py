@@ -18,24 +18,73 @@ from eventflow.llm.common import stored
 
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 TEXT_BYTES = 1 << 24  # text tokenized at once; one longer text makes a block of its own
-WORDS = 1 << 16  # words handed to the tokenizer at once
+WORDS = 1 << 14  # words handed to the tokenizer at once
+END_MARK = "</w>"  # of the tokenizer's tokens that end a unit of its pattern
+#: Latin letters without U+0130, whose lower case holds a mark; then ASCII punctuation.
+LATIN_WORD = (
+    r"^(?P<core>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]+)"
+    r"(?P<tail>[!-/:-@\[-`{-~]*)$"
+)
 #: Weights of the residual norm: tokens first, the others decide between like fits.
 WEIGHTS = {"tokens": 1.0, "documents": 1e-4, "attention": 1e-4}
 
 
-def encode_words(tokenizer, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets) of words that hold no ASCII white space."""
-    parts, sizes = [], [np.zeros(1, np.int64)]
-    for at in range(0, len(words), WORDS):
-        found = [
-            e.ids for e in tokenizer.encode_batch_fast(
-                words.slice(at, WORDS).to_pylist(), add_special_tokens=False
-            )
-        ]
-        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        parts.append(np.fromiter((i for ids in found for i in ids), np.uint32))
-    ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    return ids, np.cumsum(np.concatenate(sizes))
+def gathered(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+
+
+class Words:
+    """Ids of single words, encoded together where that cannot change them.
+
+    A word of Latin letters is one unit of the tokenizer's pattern, which lowers its case
+    and marks its last token, so many such words are encoded as one text and cut after the
+    marked tokens. ASCII punctuation at the end of such a word is a unit of its own.
+    """
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        marked = [i for token, i in tokenizer.get_vocab().items() if token.endswith(END_MARK)]
+        self.last = np.zeros(tokenizer.get_vocab_size(), bool)
+        self.last[marked] = True
+
+    def alone(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word)."""
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for at in range(0, len(words), WORDS):
+            some = words.slice(at, WORDS).to_pylist()
+            parts.append(gathered([e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def together(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for at in range(0, len(words), WORDS):
+            some = words.slice(at, WORDS)
+            listed = some.to_pylist()
+            joined = [" ".join(listed[i : i + 256]) for i in range(0, len(listed), 256)]
+            ids, _ = gathered([e.ids for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+            stops = np.flatnonzero(self.last[ids])
+            whole = len(stops) == len(listed) and (not len(ids) or stops[-1] == len(ids) - 1)
+            parts.append((ids, np.diff(stops, prepend=-1)) if whole else self.alone(some))
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets) of words that hold no ASCII white space."""
+        parts = pc.extract_regex(words, LATIN_WORD)
+        known = parts.is_valid()
+        core = pc.utf8_lower(pc.struct_field(parts, "core")).filter(known).dictionary_encode()
+        tail = pc.struct_field(parts, "tail").filter(known).dictionary_encode()
+        units = [self.together(core.dictionary), self.alone(tail.dictionary), self.alone(words.filter(pc.invert(known)))]
+        ids = np.concatenate([x for x, _ in units])
+        sizes = np.concatenate([*(n for _, n in units), [0]])  # the last unit is empty
+        known = known.to_numpy(zero_copy_only=False)
+        pair = np.full((len(words), 2), len(sizes) - 1)
+        cores, tails = len(core.dictionary), len(tail.dictionary)
+        pair[known, 0], pair[known, 1] = core.indices.to_numpy(), tail.indices.to_numpy() + cores
+        pair[~known, 0] = np.arange(cores + tails, len(sizes) - 1)
+        at = (np.cumsum(sizes) - sizes)[pair]
+        flat = ids[spread(at.ravel(), sizes[pair].ravel())]
+        return flat, np.concatenate([[0], np.cumsum(sizes[pair].sum(1))])
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -44,7 +93,7 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
 
 
-def encode_texts(tokenizer, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(encode: Words, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of whole texts, ``end_id`` after each; null counts as empty.
 
     The tokenizer never joins over white space, so each different word of the block is
@@ -53,7 +102,7 @@ def encode_texts(tokenizer, texts: pa.Array, end_id: int) -> tuple[np.ndarray, n
     split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
     bounds = split.offsets.to_numpy().astype(np.int64)
     words = split.flatten().dictionary_encode()
-    ids, at = encode_words(tokenizer, words.dictionary)
+    ids, at = encode(words.dictionary)
     which = words.indices.to_numpy()
     sizes = np.diff(at)[which]
     ends = np.concatenate([[0], np.cumsum(sizes)])[bounds - bounds[0]]
@@ -86,6 +135,8 @@ def pieces(
 ) -> DataFrame:
     """Documents as token pieces: id, piece, start, length, ids_crc32 (and ids).
 
+    The tokenizer is one that lowers case, splits at white space and marks word ends.
+
     Only documents of more than ``max_tokens`` are cut, into pieces of that length; the
     last may be shorter. A null or empty text is one piece that holds ``end_id`` alone,
     so every row gives at least one piece; a null id is kept.
@@ -96,10 +147,10 @@ def pieces(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(tokenizer)
+        encode = Words(Tokenizer.from_file(tokenizer))
         for batch in batches:
             for part in blocks(batch, "text"):
-                flat, ends = encode_texts(model, part.column("text"), end_id)
+                flat, ends = encode_texts(encode, part.column("text"), end_id)
                 flat = flat.astype("<u4")
                 n = np.diff(ends)
                 count = -(-n // max_tokens)

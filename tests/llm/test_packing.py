@@ -3,11 +3,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from eventflow.llm.packing import TOKENIZER, best_fit, pack, pack_documents, pieces, sequences
+from eventflow.llm.packing import TOKENIZER, Words, best_fit, pack, pack_documents, pieces, sequences
 from tests.conftest import SF
 
 SCHEMA = "doc_id long, text string, length string, sequence_id long"
@@ -26,6 +27,16 @@ def documents(spark, rows=TEXTS):
     return spark.createDataFrame([(*r, "x", -1) for r in rows], SCHEMA).repartition(3)
 
 
+def test_words_encode_as_in_a_text():
+    model = Tokenizer.from_file(TOKENIZER)
+    words = ["Straße.", "İstanbul.", "ſo", "a", "A!!", "e\u0301t", "=\u0338", "x=", "ŉ,", "don't", "'s", "’s.", "",
+             "don.'t", "Ĳ###", "ĸ", "Σας", "ª.", "µm", "º", "x…", "x….", "123.", "a1", "<|endoftext|>", "Š'", "…."]
+    words += [a + b for a in ("Ab", "é", "9") for b in words] * 20
+    ids, at = Words(model)(pa.array(words, pa.large_string()))
+    for w, a, b in zip(words, at, at[1:]):
+        assert ids[a:b].tolist() == model.encode(w, add_special_tokens=False).ids, w
+
+
 def check(rows, max_tokens, max_documents=10**9, max_attention=10**18):
     held = defaultdict(list)
     for r in rows:
