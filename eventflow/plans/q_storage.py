@@ -201,8 +201,10 @@ def partitioned_table(spark, sf):
 
 @query(
     "dataset_with_dead_letters",
-    """SELECT CASE WHEN event_id % 4 <= 1 THEN 'stored' ELSE 'dead' END AS outcome, count(*) AS events
-FROM events GROUP BY 1""",
+    """SELECT CASE WHEN event_id % 4 <= 1 THEN 'stored' ELSE 'dead' END AS outcome,
+  CASE event_id % 4 WHEN 0 THEN event_id || '/0/none' WHEN 1 THEN event_id || '/' || user_id || '/' || event_type
+    WHEN 2 THEN '{"title":"' || event_type || '"}' ELSE '{broken' END AS value
+FROM events""",
 )
 def dataset_with_dead_letters(spark, sf):
     good, bad = shared_dir(spark, "dataset"), shared_dir(spark, "dead")
@@ -210,9 +212,10 @@ def dataset_with_dead_letters(spark, sf):
         dataset_events(spark, sf), good, tables.RecordSchema.parse(V2), WRITERS,
         failure_policy="save", error_path=bad,
     )
-    stored = spark.read.parquet(good).select(F.lit("stored").alias("outcome"))
-    dead = spark.read.parquet(bad).select(F.lit("dead").alias("outcome"))
-    return stored.union(dead).groupBy("outcome").agg(F.count(F.lit(1)).alias("events"))
+    row = F.concat_ws("/", "code", F.col("shopper").cast("string"), "action")
+    stored = spark.read.parquet(good).select(F.lit("stored").alias("outcome"), row.alias("value"))
+    dead = spark.read.parquet(bad).select(F.lit("dead").alias("outcome"), F.col("body").cast("string").alias("value"))
+    return stored.union(dead)
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventflow.functions import records as R
 from eventflow.functions.avro import LITERAL_HEADER, URL_HEADER, avro_codec, event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import split_delimited
@@ -77,47 +77,35 @@ def write_partitioned_table(
         out.saveAsTable(table)
 
 
-AVRO_TYPES = {
-    # Primitive record types.
-    "string": "string",
-    "int": "int",
-    "long": "bigint",
-    "float": "float",
-    "double": "double",
-    "boolean": "boolean",
-    "bytes": "binary",
-}
-
-
 @dataclass(frozen=True)
 class RecordSchema:
-    """A flat record: field name, Spark type, optional default."""
+    """The record type of a dataset or of what was written to it."""
 
-    name: str
-    fields: tuple[tuple[str, str, bool, object], ...]  # name, type, has default, default
-    required: frozenset[str] = frozenset()  # fields that are never null
+    kind: R.Kind
+    text: str
 
     @classmethod
     def parse(cls, text: str) -> "RecordSchema":
-        doc = json.loads(text)
-        fields, required = [], set()
-        for f in doc["fields"]:
-            branches = f["type"] if isinstance(f["type"], list) else [f["type"]]
-            kind = next(b for b in branches if b != "null")
-            if "null" not in branches:
-                required.add(f["name"])
-            has_default = "default" in f
-            fields.append((f["name"], AVRO_TYPES[kind], has_default, f.get("default")))
-        return cls(doc["name"], tuple(fields), frozenset(required))
+        kind = R.parse_schema(text)
+        if kind.name != "record":
+            raise ValueError("a dataset holds records")
+        return cls(kind, text)
+
+    @property
+    def name(self) -> str:
+        return self.kind.label
 
     @property
     def ddl(self) -> str:
-        return ", ".join(f"`{n}` {t}" for n, t, _, _ in self.fields)
+        return ", ".join(f"`{f.name}` {R.spark_type(f.kind)}" for f in self.kind.fields)
 
     def reads(self, writer: "RecordSchema") -> bool:
-        """Same record name and every field written or defaulted."""
-        written = {n for n, *_ in writer.fields}
-        return self.name == writer.name and all(n in written or d for n, _, d, _ in self.fields)
+        """Whether some of what ``writer`` writes can be read."""
+        try:
+            R.resolve(writer.kind, self.kind)
+        except R.Incompatible:
+            return False
+        return True
 
 
 def decode_dataset(
@@ -133,9 +121,16 @@ def decode_dataset(
     """Bodies decoded by the schema their header names, resolved to the table schema.
 
     ``writers`` maps a header value (URL or literal) to schema text; the URL header wins.
-    Fields the table lacks are dropped, fields the writer lacks take their default.
-    Adds ``row`` (null when the event cannot be decoded). One pass, no grouping. ``parser``
-    (body, schema text) -> struct replaces the codec; null is an event it cannot read.
+    Schemas may nest records, arrays, maps, unions, enums, fixed and logical types, and
+    are resolved as records are read: see ``records.resolve``. Adds ``row``, null when the
+    event cannot be decoded: an unknown or unreadable schema, a body that is not what its
+    schema writes, or a value (of an enum or union) that the table has no place for.
+
+    JSON bodies hold each value plainly: a union's value without its type (the first choice
+    that it fits counts), bytes as base64, decimals as numbers, dates and timestamps as the
+    numbers their schema says; fields that the schema lacks are ignored, a missing one is
+    null. One pass, each body is parsed once, no grouping. ``parser`` (body, schema text)
+    -> struct of the writer's types replaces the codec; null is an event it cannot read.
     """
     h = F.col("headers")
     which = F.coalesce(h[url_header], h[literal_header])
@@ -143,51 +138,38 @@ def decode_dataset(
         if not avro_codec(df.sparkSession):
             raise RuntimeError("Avro bodies need the Avro package on the classpath")
         from pyspark.sql.avro.functions import from_avro
-    readable = {}
-    for key, schema_text in writers.items():
-        writer = RecordSchema.parse(schema_text)
-        if table.reads(writer):
-            readable[key] = (schema_text, writer)
     # First decode (each body by one schema only), then resolve: a decoded value is used
     # once per field and must not be parsed again for each.
-    values = []
-    for i, (key, (schema_text, writer)) in enumerate(readable.items()):
+    values, rows = [], []
+    for key, text in writers.items():
+        writer = R.parse_schema(text)
+        mode = R.TYPED if codec == "json" and parser is None else R.NATIVE
+        try:
+            found = R.resolve(writer, table.kind, mode)
+        except R.Incompatible:
+            continue
+        name = f"_v{len(values)}"
+        held = F.col(name)
         if parser is not None:
-            value = parser(F.col("body"), schema_text)
-        elif codec == "avro":
-            value = from_avro(F.col("body"), schema_text, {"mode": "PERMISSIVE"})
+            value = parser(F.col("body"), text)
+        elif codec == "avro":  # the codec resolves both schemas itself
+            value = from_avro(F.col("body"), text, {"mode": "PERMISSIVE", "avroSchema": table.text})
         else:
+            fields = ", ".join(f"`{f.name}` {R.json_type(f.kind)}" for f in writer.fields)
             options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-            value = F.from_json(
-                F.col("body").cast("string"), writer.ddl + ", _corrupt string", options
-            )
-        values.append(F.when(which == key, value).alias(f"_v{i}"))
-    if codec == "json" and parser is None:
-        values.append(F.try_parse_json(F.col("body").cast("string")).alias("_json"))
+            value = F.from_json(F.col("body").cast("string"), f"{fields}, _corrupt string", options)
+        values.append(F.when(which == key, value).alias(name))
+        decoded = held.isNotNull()
+        if mode == R.TYPED:
+            decoded = decoded & held["_corrupt"].isNull() & R.written(writer, mode, held)
+        if codec == "avro" and parser is None:
+            rows.append(F.when(decoded, held))
+        else:
+            rows.append(F.when(decoded & found.sure(held), found.value(held)))
+    target = R.spark_type(table.kind)
+    row = F.coalesce(*[r.cast(target) for r in rows], F.lit(None).cast(target))
     staged = df.select("*", *values)
-    target = f"struct<{', '.join(f'`{n}`: {t}' for n, t, _, _ in table.fields)}>"
-    row = F.lit(None).cast(target)
-    for i, (_, writer) in enumerate(readable.values()):
-        value = F.col(f"_v{i}")
-        decoded = value.isNotNull()
-        if codec == "json" and parser is None:
-            decoded = decoded & value["_corrupt"].isNull()
-            for n, kind, *_ in writer.fields:
-                if n in writer.required:
-                    decoded = decoded & value[n].isNotNull()
-                if kind == "string":  # the parser renders any value as text
-                    given = F.try_variant_get("_json", f"$['{n}']", "variant")
-                    is_text = F.schema_of_variant(given).isin("STRING", "VOID")
-                    decoded = decoded & (value[n].isNull() | F.coalesce(is_text, F.lit(False)))
-        written = {n for n, *_ in writer.fields}
-        resolved = F.struct(
-            *[
-                (value[n].cast(t) if n in written else F.lit(default).cast(t)).alias(n)
-                for n, t, _, default in table.fields
-            ]
-        )
-        row = F.when(decoded, resolved).otherwise(row)
-    return staged.withColumn("row", row).drop("_json", *[f"_v{i}" for i in range(len(readable))])
+    return staged.withColumn("row", row).drop(*[f"_v{i}" for i in range(len(values))])
 
 
 def write_dataset(
