@@ -1,13 +1,47 @@
-"""Global row numbers without a single-task sort."""
+"""Slices of a global order, and row numbers in it, without a copy of the rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventflow.session import materialize
+SAMPLES = 32  # keys sampled for each slice
 
-LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row below
+
+def slice_bounds(df: DataFrame, order_by: list[str], slices: int) -> list[tuple]:
+    """Keys that cut the order into about ``slices`` even parts, from a sample of the keys.
+
+    Reads only the key columns; the driver gets some tens of keys for each slice.
+    """
+    keys = df.select(*order_by)
+    total = keys.count()
+    if total < 2 or slices < 2:
+        return []
+    share = min(1.0, SAMPLES * slices * 1.2 / total)
+    some = keys if share == 1.0 else keys.sample(share, seed=11)
+    ordered = [tuple(r) for r in some.orderBy(*order_by).collect()]
+    cuts = [ordered[i * len(ordered) // slices] for i in range(1, slices)] if ordered else []
+    return [c for i, c in enumerate(cuts) if not i or c != cuts[i - 1]]
+
+
+def slice_number(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Column:
+    """How many of ``bounds`` are not above a row's key, by bisection; nulls come first.
+
+    The number is a function of the key alone, so every pass over the rows, and every
+    repeated task, puts a row into the same slice.
+    """
+    if not bounds:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in order_by]
+    table = F.array(*[
+        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds
+    ])
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at),
+    )
 
 
 def with_arrival_index(
@@ -15,36 +49,18 @@ def with_arrival_index(
 ) -> DataFrame:
     """Add a dense 0-based index in ``order_by`` order (make the keys unique).
 
-    One range shuffle orders the rows across all tasks; a checkpoint pins that layout;
-    the offsets table has one row per partition, so joining it back is a small
-    broadcast whatever the data size.
+    Two passes read the keys only: a sample gives the bounds of slices, a count gives the
+    rows before each slice. The rows themselves are shuffled once, by slice, and numbered
+    inside it. ``df`` must give the same rows each time it is read.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(n, *order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("_mono", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_mono", LOCAL_BITS))
-        .withColumn("_local", F.col("_mono") - F.shiftleft(F.col("_part"), LOCAL_BITS))
-        .drop("_mono")
-    )
-    fixed = materialize(placed)
-    # <= n rows, one per partition: the single-partition window is bounded by n.
-    offsets = (
-        fixed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            "_part",
-            F.coalesce(
-                F.sum("_rows").over(
-                    Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("_base"),
-        )
-    )
-    return (
-        fixed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_base") + F.col("_local"))
-        .drop("_part", "_local", "_base")
-    )
+    n = partitions or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = slice_bounds(df, order_by, n)
+    sliced = df.withColumn("_slice", slice_number(df, order_by, bounds))
+    sizes = {r[0]: r[1] for r in sliced.groupBy("_slice").count().collect()}  # one row a slice
+    before, base = 0, []
+    for i in range(len(bounds) + 1):
+        base.append(before)
+        before += sizes.get(i, 0)
+    inside = F.row_number().over(Window.partitionBy("_slice").orderBy(*order_by))
+    start = F.get(F.lit(base).cast("array<bigint>"), F.col("_slice"))
+    return sliced.withColumn(name, start + inside - 1).drop("_slice")

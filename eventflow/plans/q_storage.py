@@ -127,6 +127,52 @@ def bucketed_files(spark, sf):
     )
 
 
+ROLL_BYTES, ROLL_EVENTS, ROLL_SECONDS = 65_536, 40, 6 * 3600
+
+
+@query(
+    "bucketed_by_size",
+    f"""WITH d AS (SELECT lang, coalesce(strlen(text), 0) + 1 AS size, row_number() OVER w AS n,
+    sum(coalesce(strlen(text), 0) + 1) OVER w AS upto FROM documents WINDOW w AS (PARTITION BY lang ORDER BY doc_id)),
+r AS (SELECT lang AS bucket, ((upto - size) // {ROLL_BYTES})::BIGINT || '-' || (n - 1) // {ROLL_EVENTS} AS roll, size FROM d)
+SELECT bucket, roll, 1::BIGINT AS files, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY bucket, roll""",
+)
+def bucketed_by_size(spark, sf):
+    """Documents by language, each file closed by its bytes or its events."""
+    out = shared_dir(spark, "by-size")
+    files.write_bucketed(
+        A.documents(spark, sf), out, "%{lang}", clock=F.lit(1), roll_size=ROLL_BYTES, roll_count=ROLL_EVENTS,
+        order_by=["doc_id"],
+    )
+    lines = spark.read.schema("value string, bucket string, roll string").option("lineSep", "\n").text(out)
+    lines = lines.withColumn("file", F.input_file_name())
+    return lines.groupBy("bucket", "roll").agg(
+        F.count_distinct("file").alias("files"), F.sum(F.octet_length("value") + 1).alias("bytes")
+    )
+
+
+@query(
+    "bucketed_by_interval",
+    f"""WITH e AS (SELECT event_type AS bucket, {MS} // {1000 * ROLL_SECONDS} AS span, event_id, props FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY bucket, span ORDER BY event_id) - 1 AS i FROM e)
+SELECT bucket, span || '-' || i // {ROLL_EVENTS} AS roll, 1::BIGINT AS files, count(*) AS events,
+  md5(string_agg(props, ';' ORDER BY event_id)) AS digest FROM n GROUP BY 1, 2""",
+)
+def bucketed_by_interval(spark, sf):
+    """Events by type, a new file every six hours and after so many events, in order."""
+    out = shared_dir(spark, "by-interval")
+    files.write_bucketed(
+        A.events(spark, sf), out, "%{event_type}", roll_interval=ROLL_SECONDS, roll_count=ROLL_EVENTS,
+        order_by=["event_id"],
+    )
+    lines = spark.read.schema("value string, bucket string, roll string").text(out, wholetext=True)
+    rows = F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")
+    return lines.select(
+        "bucket", "roll", F.lit(1).cast("bigint").alias("files"), F.size(rows).cast("bigint").alias("events"),
+        F.md5(F.array_join(rows, ";").cast("binary")).alias("digest"),
+    )
+
+
 ORDER_RECORD = """{"type": "record", "name": "order", "fields": [
   {"name": "o_orderkey", "type": "long"}, {"name": "o_orderstatus", "type": ["string", "null"]}]}"""
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventflow.functions.avro import EVENT_RECORD, event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import dump, header_and_text
+from eventflow.operators.indexing import slice_bounds, slice_number
 from eventflow.schema import empty_body, empty_headers
 
 SERIALIZERS = ("TEXT", "HEADER_AND_TEXT", "AVRO_EVENT")
@@ -73,6 +74,79 @@ def with_buckets(df: DataFrame, pattern: str, name: str = "bucket", **options) -
     return df.withColumn(name, bucket_path(pattern, F.col("headers"), **options))
 
 
+def event_bytes(df: DataFrame, serializer: str | Callable[[DataFrame], Column] = "TEXT") -> Column:
+    """Bytes that an event takes in a file, before compression: its line and line end, or
+    the texts and the body of an Avro event record."""
+    if serializer != "AVRO_EVENT":
+        return F.coalesce(F.octet_length(serialize_text(df, serializer)), F.lit(0)).cast("bigint") + 1
+    parts = F.concat(F.map_keys("headers"), F.filter(F.map_values("headers"), lambda v: v.isNotNull()))
+    texts = F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, x: n + F.octet_length(x))
+    return F.coalesce(texts, F.lit(0)) + F.coalesce(F.octet_length("body"), F.lit(0))
+
+
+def with_rolls(
+    df: DataFrame,
+    size: Column,
+    *,
+    by: str = "bucket",
+    roll_size: int = 0,
+    roll_count: int = 0,
+    roll_interval: int = 0,
+    roll_clock: Column | None = None,
+    order_by: list[str] = (),
+    name: str = "roll",
+) -> DataFrame:
+    """Add the file each event goes to within its bucket, by bytes, events and seconds.
+
+    An event opens a new file where the bytes (or events) before it reach a multiple of
+    ``roll_size`` (``roll_count``), so no file is over a limit by more than its last event;
+    ``roll_interval`` first splits a bucket by ``roll_clock`` (epoch millis, by default the
+    ``timestamp`` header). A limit of 0 does not roll; events
+    without a time share the span ``none``.
+
+    With ``order_by`` (unique keys) the sums run through a bucket in that order, over all
+    tasks: the order is cut into slices, each (bucket, slice) is summed alone, and what lies
+    before it comes from the slices' totals, one row each. A bucket with most of the events
+    spreads over as many tasks as there are slices. Without an order each task rolls its own
+    files. An event larger than the limit is alone in its file or ends it.
+    """
+    clock = F.col("headers")["timestamp"].cast("bigint") if roll_clock is None else roll_clock
+    span = F.floor(clock / F.lit(1000 * roll_interval)) if roll_interval else F.lit(0)
+    staged = df.withColumn("_span", span.cast("bigint")).withColumn("_size", size)
+    if order_by:
+        n = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bounds = slice_bounds(df, list(order_by), n)
+        staged = staged.withColumn("_slice", slice_number(df, list(order_by), bounds).cast("bigint"))
+        inside = list(order_by)
+    else:
+        staged = staged.withColumn("_row", F.monotonically_increasing_id())
+        staged = staged.withColumn("_slice", F.shiftright("_row", 33))
+        inside = ["_row"]
+    group = [by, "_span", "_slice"]
+    sums = Window.partitionBy(*group).orderBy(*inside).rowsBetween(Window.unboundedPreceding, -1)
+    placed = staged.withColumns({
+        "_bytes": F.coalesce(F.sum("_size").over(sums), F.lit(0)), "_events": F.count(F.lit(1)).over(sums),
+    })
+    if order_by:
+        before = Window.partitionBy(by, "_span").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        totals = staged.groupBy(*group).agg(F.sum("_size").alias("_all"), F.count(F.lit(1)).alias("_rows"))
+        totals = totals.select(
+            *[F.col(c).alias(f"{c}_t") for c in group],
+            F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_bytes0"),
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_events0"),
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"{c}_t")) for c in group]
+        placed = placed.join(totals, same).withColumns({
+            "_bytes": F.col("_bytes") + F.col("_bytes0"), "_events": F.col("_events") + F.col("_events0"),
+        })
+    parts = [F.coalesce(F.col("_span").cast("string"), F.lit("none"))] if roll_interval else []
+    parts += [] if order_by else [F.col("_slice")]
+    parts += [F.floor(F.col("_bytes") / F.lit(roll_size))] if roll_size else []
+    parts += [F.floor(F.col("_events") / F.lit(roll_count))] if roll_count else []
+    number = F.concat_ws("-", *[p.cast("string") for p in parts])
+    return placed.withColumn(name, number).select(*df.columns, name)
+
+
 def write_bucketed(
     df: DataFrame,
     path: str,
@@ -85,6 +159,10 @@ def write_bucketed(
     clock: Column | None = None,
     compression: str | None = None,
     roll_count: int = 0,
+    roll_size: int = 0,
+    roll_interval: int = 0,
+    roll_clock: Column | None = None,
+    order_by: list[str] = (),
     files_per_bucket: int = 0,
     mode: str = "append",
 ) -> None:
@@ -92,10 +170,22 @@ def write_bucketed(
 
     By default each task writes the buckets it meets. ``files_per_bucket`` gathers a
     bucket first, salted over that many tasks so a hot bucket does not land on one.
+
+    ``roll_size`` (bytes), ``roll_interval`` (seconds) or an ``order_by`` make a folder
+    ``roll=...`` with one file for each roll of a bucket (see ``with_rolls``); rows keep the
+    order inside a file. Files are shuffled to tasks whole, so a hot bucket spreads by files.
     """
     staged = with_buckets(
         df, pattern, "bucket", tz=tz, round_unit=round_unit, round_value=round_value, clock=clock
     )
+    if roll_size or roll_interval or order_by:
+        rolled = with_rolls(
+            staged, event_bytes(staged, serializer), roll_size=roll_size, roll_count=roll_count,
+            roll_interval=roll_interval, roll_clock=roll_clock, order_by=order_by,
+        )
+        rolled = rolled.repartition("bucket", "roll").sortWithinPartitions("bucket", "roll", *order_by)
+        write_events(rolled, path, serializer, partition_by=["bucket", "roll"], compression=compression, mode=mode)
+        return
     if files_per_bucket:
         # By the row's place, not its content: a hot bucket may hold equal events.
         salt = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_bucket))
