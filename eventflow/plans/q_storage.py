@@ -17,6 +17,7 @@ from eventflow.schema import body_text, header, to_events
 from eventflow.session import shared_dir, tune
 from eventflow.sinks import files, tables
 from eventflow.sources.files import list_spool, read_spool, stream_spool
+from eventflow.sources.spool_stream import stream_spool_files
 from eventflow.sources.tail import read_tail
 from eventflow.streaming import delivery as D
 from eventflow.streaming.rolling import write_rolling
@@ -87,6 +88,37 @@ def spool_stream(spark, sf):
     )
 
 
+@query(
+    "spool_stream_empty_files",
+    """WITH l AS (SELECT unnest(string_split(text, chr(10))) AS body FROM documents)
+SELECT 'lines' AS kind, body, count(*) AS n FROM l GROUP BY body
+UNION ALL SELECT 'empty', coalesce(source, ''), 1 FROM (SELECT DISTINCT source FROM documents)""",
+)
+def spool_stream_empty_files(spark, sf):
+    """Text files and, for each source, one that is empty: oldest first, two at a time."""
+    folder, out = _spool(spark, sf, "mixed"), shared_dir(spark, "mixed-out")
+    sources = A.table(spark, sf, "documents").select(F.coalesce("source", F.lit("")).alias("s")).distinct()
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for r in sources.collect():  # a name for each source
+        at = hadoop(f"{folder}/empty-{r.s}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at).close()
+    lines = stream_spool_files(
+        spark, folder, shared_dir(spark, "mixed-files"), include=r"part-.*|empty-.*", max_line_length=1 << 20,
+        max_files_per_trigger=2, range_bytes=1 << 20, basename_header="file",
+    )
+    running = Flow(lines).to("store", D.batch_writer(out)).start(shared_dir(spark, "mixed-state"))
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    empty = header("file").startswith("empty-")
+    rows = spark.read.parquet(out).select(
+        F.when(empty, F.lit("empty")).otherwise(F.lit("lines")).alias("kind"),
+        F.when(empty, F.substring(header("file"), 7, 1 << 20)).otherwise(body_text()).alias("body"),
+    )
+    return rows.groupBy("kind", "body").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("tail_lines", _ALL_LINES)
 def tail_lines(spark, sf):
     folder = _spool(spark, sf, "tail")
@@ -264,6 +296,25 @@ def dataset_with_dead_letters(spark, sf):
     return stored.union(dead)
 
 
+@query("tail_stream_bounded", _ALL_LINES)
+def tail_stream_bounded(spark, sf):
+    """As tail_stream, in batches of at most an eighth of the bytes; tasks keep the line ends."""
+    folder, out = _spool(spark, sf, "bounded"), shared_dir(spark, "bounded-out")
+    total = list_spool(spark, folder, include=r"part-.*").agg(F.sum("length")).first()[0] or 8
+    lines = read_tail(
+        spark, {"docs": (folder, r"part-.*")}, range_bytes=262_144, max_bytes_per_batch=-(-total // 8),
+        state_path=shared_dir(spark, "bounded-positions"),
+    )
+    running = Flow(lines).to("store", D.batch_writer(out)).start(shared_dir(spark, "bounded-state"))
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(out).groupBy(body_text().alias("body")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query(
     "stream_routed_delivery",
     """WITH r AS (SELECT event_id, unnest(CASE event_type WHEN 'click' THEN ['web'] WHEN 'purchase'
