@@ -208,6 +208,35 @@ def json_event_rejects(spark, sf):
     return turns.join(bad.select("conv_id", "batch_no"), ["conv_id", "batch_no"])
 
 
+@query(
+    "json_event_literal_headers",
+    """SELECT conv_id, turn, '[' || turn || ']' AS list, '{}' AS empty, text AS body FROM conversations
+WHERE turn % 4 < 2""",
+)
+def json_event_literal_headers(spark, sf):
+    """Texts that look like JSON are values; nested values and text behind the array reject."""
+    n = F.pmod("turn", F.lit(4))
+    event = F.to_json(F.struct(
+        F.create_map(
+            F.lit("turn"), F.col("turn").cast("string"), F.lit("list"), F.concat(F.lit("["), "turn", F.lit("]")),
+            F.lit("empty"), F.lit("{}"),
+        ).alias("headers"),
+        F.col("text").alias("body"),
+    ))
+    nested = F.replace(event, F.lit('"empty":"{}"'), F.lit('"empty":{}'))
+    rows = A.table(spark, sf, "conversations").select(
+        "conv_id",
+        F.when(n < 2, F.concat(F.lit(" ["), event, F.lit("] ")))
+        .when(n == 2, F.concat(F.lit("["), nested, F.lit("]")))
+        .otherwise(F.concat(F.lit("["), event, F.lit('],"y":[1]'))).alias("payload"),
+    )
+    events, _ = P.parse_json_events(rows, keep=("conv_id",))
+    return events.select(
+        "conv_id", header("turn").cast("bigint").alias("turn"), header("list").alias("list"),
+        header("empty").alias("empty"), body_text().alias("body"),
+    )
+
+
 @query(
     "blob_requests",
     r"""SELECT page_id, regexp_extract(url, '[?&]page=([^&#]*)', 1) AS page,

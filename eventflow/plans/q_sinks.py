@@ -12,6 +12,7 @@ from eventflow.operators import triage as P
 from eventflow.plans import adapters as A
 from eventflow.plans.registry import MS, query
 from eventflow.schema import body_text, header, to_events
+from eventflow.session import shared_dir
 from eventflow.sinks import records as R
 from eventflow.sinks import tables as S
 from eventflow.sinks.databases import Template
@@ -94,16 +95,33 @@ def apply_updates(spark, sf):
     )
 
 
+@query(
+    "upsert_table",
+    f"""WITH {_UPDATES}
+SELECT coalesce(c.c_custkey, f.c_custkey) AS c_custkey, coalesce(c.c_nationkey, -1) AS c_nationkey,
+  coalesce(f.c_acctbal, c.c_acctbal) AS c_acctbal, coalesce(f.c_mktsegment, c.c_mktsegment) AS c_mktsegment
+FROM customer c FULL JOIN f ON c.c_custkey = f.c_custkey""",
+)
+def upsert_table(spark, sf):
+    """The customers as a table by nation; only nations with changed customers are rewritten."""
+    path = shared_dir(spark, "customers")
+    columns = ["c_custkey", "c_acctbal", "c_mktsegment", "c_nationkey"]
+    A.table(spark, sf, "customer").select(*columns).write.partitionBy("c_nationkey").parquet(path)
+    updates = _updates(spark, sf).withColumn("c_nationkey", F.lit(-1))
+    U.upsert_table(spark, path, updates, ["c_custkey"], ["seq"], ["c_nationkey"])
+    return spark.read.parquet(path).select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
 @query(
     "insert_rows",
-    "SELECT event_id::INT AS myId, value::VARCHAR AS myString, user_id AS myInteger FROM events",
+    "SELECT event_id::INT AS visitNumber, value::VARCHAR AS spent, user_id AS shopperId FROM events",
 )
 def insert_rows(spark, sf):
-    schema = T.StructType.fromDDL("myId int, myString string, myInteger bigint, other date")
+    schema = T.StructType.fromDDL("visitNumber int, spent string, shopperId bigint, other date")
     fields = A.table(spark, sf, "events").select(
-        F.col("event_id").alias("MYID"),
-        F.col("value").alias("mystring"),
-        F.col("user_id").alias("MyInteger"),
+        F.col("event_id").alias("VISITNUMBER"),
+        F.col("value").alias("Spent"),
+        F.col("user_id").alias("shopperid"),
         F.col("props").alias("unmapped"),
     )
     return U.insert_rows(fields, schema)

@@ -24,30 +24,40 @@ def parse_json_events(
     raw = F.col(payload)
     if dict(df.dtypes)[payload] == "binary":
         raw = F.decode(raw, charset)
-    # A rejected payload parses to null, which explodes to no row.
-    events = df.select(*keep, F.explode(_strict_events(raw)).alias("_e"))
+    # Two steps, so that a payload is parsed once however often its events are used.
+    text = F.regexp_replace(raw, r"\A[\s\ufeff]+|\s+\z", "")
+    parsed = F.from_json(F.concat(F.lit('{"a":'), text, F.lit(',"z":1}')), f"a {JSON_EVENTS_DDL}, z int")
+    staged = df.withColumns({"_text": text, "_parsed": parsed})
+    staged = staged.withColumn("_events", _strict_events(F.col("_text"), F.col("_parsed"))).drop("_parsed", "_text")
+    # A rejected payload has no events and explodes to no row.
+    events = staged.select(*keep, F.explode("_events").alias("_e"))
     out = to_events(events, F.col("_e.headers"), F.col("_e.body"), keep=keep, charset=charset)
-    return out, df.filter(_strict_events(raw).isNull())
-
-
-def _strict_events(raw: Column) -> Column:
-    # PERMISSIVE parsing yields null for the whole column on malformed text; a bare
-    # object would be wrapped, so require an array. The parser stops behind the array and
-    # renders nested header values as text, so both are looked at apart.
-    trimmed = F.trim(F.regexp_replace(raw, r"\A[\s\ufeff]+|\s+\z", ""))
-    events = F.from_json(raw, JSON_EVENTS_DDL)
-    wrapped = F.concat(F.lit('{"a":'), trimmed, F.lit(',"z":1}'))
-    # Text behind the array breaks the wrapping object, whose last field then is missing.
-    whole = F.get_json_object(wrapped, "$.z") == "1"
-    nested = F.exists(
-        F.coalesce(events, F.array().cast(JSON_EVENTS_DDL)),
-        lambda e: F.exists(
-            F.map_values(F.coalesce(e["headers"], F.create_map().cast("map<string,string>"))),
-            lambda v: F.coalesce(v.rlike(r"\A[\[{]"), F.lit(False)) & F.get_json_object(v, "$").isNotNull(),
-        ),
+    return out, staged.filter(F.col("_events").isNull()).drop("_events")
+
+
+def _strict_events(text: Column, parsed: Column) -> Column:
+    """Events of a payload that is one array and nothing else, with plain values only.
+
+    The parser stops behind the first value, so a payload is parsed as a field of an object
+    whose last field must come through, and counted as an item of an array: no text behind
+    the payload passes both. It renders nested values as text, so where a text looks like
+    one a second look, at variants, tells a nested value from a text in quotes.
+    """
+    events = parsed["a"]
+    items = F.json_array_length(F.concat(F.lit("["), text, F.lit(",1]")))
+    good = text.startswith("[") & (parsed["z"] == 1) & (items == 2)
+    looks_nested = lambda v: F.coalesce(v.rlike(r"\A[\[{]"), F.lit(False))
+    values = lambda e: F.map_values(F.coalesce(e["headers"], F.create_map().cast("map<string,string>")))
+    suspect = F.exists(events, lambda e: looks_nested(e["body"]) | F.exists(values(e), looks_nested))
+    kinds = F.from_json(text, "array<struct<headers: map<string,variant>, body: variant>>")
+    is_nested = lambda v: F.coalesce(
+        F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+        | F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit(False)
     )
-    good = trimmed.startswith("[") & trimmed.endswith("]") & whole & ~nested
-    return F.when(F.coalesce(good, F.lit(False)), events)
+    variants = lambda e: F.map_values(F.coalesce(e["headers"], F.create_map().cast("map<string,variant>")))
+    nested = F.exists(kinds, lambda e: is_nested(e["body"]) | F.exists(variants(e), is_nested))
+    plain = F.when(F.coalesce(suspect, F.lit(False)), ~F.coalesce(nested, F.lit(True))).otherwise(F.lit(True))
+    return F.when(F.coalesce(good, F.lit(False)), F.when(plain, events))
 
 
 def parse_blob_request(

@@ -137,6 +137,24 @@ def test_json_events(spark, charset):
     assert rejected.count() == 0
 
 
+def test_json_payloads_that_only_look_wrong_or_right(spark):
+    one = '{"headers":{"a":"b"},"body":"x"}'
+    good = ['[{"headers":{"a":"[1]"},"body":"x"}]', '[{"headers":{"a":"{}"},"body":"{\\"k\\":1}"}]', f" [{one},{one}]\n",
+            '[{"headers":{"a":5,"c":true,"d":null},"body":"[x"}]', '[{"body":"no headers"}]', "[]", '[{"headers":{"a":"x],1]"},"body":"],1"}]']
+    bad = [f'[{one}],"y":[1]', f"[{one}],1]", f"[{one}]]", f"[{one}],[{one}]", f"[{one}] x", one, f"[{one}]}}", f'[{one}],"z":1',
+           '[{"headers":{"a":[1]},"body":"x"}]', '[{"headers":{"a":{}},"body":"x"}]', '[{"headers":{"a":"1"},"body":{"k":1}}]',
+           '[{"headers":{"a":"[1]"},"body":"x"},{"headers":{"a":[1]},"body":"x"}]', "", "[", f"[{one}", "1", f"[{one}],"]
+    df = spark.createDataFrame([(p,) for p in [*good, *bad, None]], "payload string")
+    events, rejected = P.parse_json_events(df)
+    assert rejected.columns == ["payload"]
+    assert sorted(r.payload or "" for r in rejected.collect()) == sorted([*bad, ""])
+    got = sorted((sorted(r.headers.items()), bytes(r.body).decode()) for r in events.collect())
+    assert got == sorted([
+        ([("a", "[1]")], "x"), ([("a", "{}")], '{"k":1}'), ([("a", "b")], "x"), ([("a", "b")], "x"),
+        ([("a", "5"), ("c", "true"), ("d", None)], "[x"), ([], "no headers"), ([("a", "x],1]")], "],1"),
+    ])
+
+
 def test_json_events_reject_whole_payload(spark):
     df = spark.createDataFrame(
         [(TWO[:-3],), ("not json",), ('{"headers":{},"body":"x"}',), ("[]",), ('[{"body":null}]',)],

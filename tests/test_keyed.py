@@ -49,9 +49,9 @@ def test_fold_combines_before_the_shuffle(spark):
 def test_insert_rows_maps_by_name(spark):
     from pyspark.sql import types as T
 
-    schema = T.StructType.fromDDL("myInteger int, myString string")
-    df = spark.createDataFrame([("64", "bar", 1), (None, None, 2)], "MYINTEGER string, mystring string, x int")
-    assert [tuple(r) for r in U.insert_rows(df, schema).collect()] == [(64, "bar")]
+    schema = T.StructType.fromDDL("seats int, cinema string")
+    df = spark.createDataFrame([("31", "rex", 1), (None, None, 2)], "SEATS string, Cinema string, x int")
+    assert [tuple(r) for r in U.insert_rows(df, schema).collect()] == [(31, "rex")]
     assert U.insert_rows(df.select("x"), schema).count() == 0
 
 
@@ -172,3 +172,37 @@ def test_dirty_reads(spark, records, width):
         last[p] = o
     got = dirty_reads(df, "arrival", width).collect()
     assert {r.partition: (r.records, r.dirty_reads) for r in got} == want
+
+
+def test_small_updates_do_not_shuffle_the_target(spark):
+    target = spark.range(5000).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("w"))
+    updates = spark.createDataFrame([(7, 1, "b", None), (9000, 1, "c", 5), (None, 1, "n", 1)], "k long, n long, v string, w int")
+    for merged in (U.merge_upsert(target, updates, ["k"], ["n"]), U.apply_updates(target, updates, "k", ["n"])):
+        rows = {r.k: (r.v, r.w) for r in merged.collect()}
+        assert len(rows) == 5002 and rows[7] == ("b", 1) and rows[9000] == ("c", 5) and rows[None] == ("n", 1)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        for line in plan.split("== Initial Plan ==")[0].splitlines():
+            assert "FullOuter" not in line
+        # Only folded updates are exchanged: each hash exchange stands above an aggregate of them.
+        assert "SortMergeJoin" not in plan.split("== Initial Plan ==")[0]
+
+
+def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, i % 4, "old", i) for i in range(40)]
+    spark.createDataFrame(rows, "k long, p int, v string, w long").write.partitionBy("p").parquet(path)
+    before = {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in (tmp_path / "t").rglob("*.parquet")}
+    updates = spark.createDataFrame(
+        [(5, 2, 1, "lost", None), (5, 3, 9, None, 77), (5, 4, 9, "new", None), (100, 1, 2, "more", 1)],
+        "k long, n long, p int, v string, w long",
+    )
+    assert U.upsert_table(spark, path, updates, ["k"], ["n"], ["p"]) == 2
+    after = {f: (f.stat().st_mtime_ns, f.read_bytes()) for f in (tmp_path / "t").rglob("*.parquet")}
+    kept = [f for f in before if f.parent.name in ("p=0", "p=3")]
+    assert kept and all(after.get(f) == before[f] for f in kept)
+    got = {(r.k, r.p, r.v, r.w) for r in spark.read.parquet(path).collect()}
+    want = {r for r in rows if r[0] != 5} | {(5, 1, "new", 77), (100, 2, "more", 1)}
+    assert got == want
+    assert U.upsert_table(spark, path, updates.limit(0), ["k"], ["n"], ["p"]) == 0
+    assert U.upsert_table(spark, path, updates.where("k = 100"), ["k"], ["n"], ["p"]) == 1
+    assert {(r.k, r.p, r.v, r.w) for r in spark.read.parquet(path).collect()} == want
