@@ -33,11 +33,19 @@ def slice_number(df: DataFrame, order_by: list[str], bounds: list[tuple]) -> Col
     table = F.array(*[
         F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))]) for b in bounds
     ])
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
-    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return not_above(table, key_of(order_by), len(bounds))
+
+
+def key_of(order_by: list[str]) -> Column:
+    """The order columns as one comparable value; nulls come first."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
+
+
+def not_above(table: Column, key: Column, most: int) -> Column:
+    """How many entries of a sorted array of at most ``most`` are not above ``key``."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(most.bit_length()))])
     return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at),
+        steps, F.lit(0), lambda at, step: F.when(F.get(table, at + step - 1) <= key, at + step).otherwise(at)
     )
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from eventflow.functions.avro import EVENT_RECORD, event_file_format
 from eventflow.functions.bucketing import bucket_path
 from eventflow.functions.text import dump, header_and_text
-from eventflow.operators.indexing import slice_bounds, slice_number
+from eventflow.operators.indexing import key_of, not_above, slice_bounds, slice_number
 from eventflow.schema import empty_body, empty_headers
+from eventflow.session import stored
 
 SERIALIZERS = ("TEXT", "HEADER_AND_TEXT", "AVRO_EVENT")
 
@@ -105,46 +106,62 @@ def with_rolls(
     without a time share the span ``none``.
 
     With ``order_by`` (unique keys) the sums run through a bucket in that order, over all
-    tasks: the order is cut into slices, each (bucket, slice) is summed alone, and what lies
-    before it comes from the slices' totals, one row each. A bucket with most of the events
-    spreads over as many tasks as there are slices. Without an order each task rolls its own
-    files. An event larger than the limit is alone in its file or ends it.
+    tasks. They are made from keys and sizes alone: the order is cut into slices, each
+    (bucket, slice) is summed by itself, and what lies before it comes from the slices'
+    totals, one row each, so a bucket with most of the events spreads over as many tasks as
+    there are slices. What is left is the first key of each file; an event finds its file by
+    bisection of its bucket's, so headers and bodies are not shuffled here. Without an order
+    each task rolls its own files. An event larger than the limit ends its file.
     """
     clock = F.col("headers")["timestamp"].cast("bigint") if roll_clock is None else roll_clock
     span = F.floor(clock / F.lit(1000 * roll_interval)) if roll_interval else F.lit(0)
-    staged = df.withColumn("_span", span.cast("bigint")).withColumn("_size", size)
-    if order_by:
-        n = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bounds = slice_bounds(df, list(order_by), n)
-        staged = staged.withColumn("_slice", slice_number(df, list(order_by), bounds).cast("bigint"))
-        inside = list(order_by)
-    else:
-        staged = staged.withColumn("_row", F.monotonically_increasing_id())
-        staged = staged.withColumn("_slice", F.shiftright("_row", 33))
-        inside = ["_row"]
+    staged = df.withColumn("_span", span.cast("bigint"))
+
+    def number(parts: list[Column]) -> Column:
+        parts = ([F.coalesce(F.col("_span").cast("string"), F.lit("none"))] if roll_interval else []) + parts
+        parts += [F.floor(F.col("_bytes") / F.lit(roll_size))] if roll_size else []
+        parts += [F.floor(F.col("_events") / F.lit(roll_count))] if roll_count else []
+        return F.concat_ws("-", *[p.cast("string") for p in parts])
+
+    def summed(rows: DataFrame, inside: list[str]) -> DataFrame:
+        sums = Window.partitionBy(by, "_span", "_slice").orderBy(*inside).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({
+            "_bytes": F.coalesce(F.sum("_size").over(sums), F.lit(0)), "_events": F.count(F.lit(1)).over(sums),
+        })
+
+    if not order_by:
+        own = staged.withColumns({"_size": size, "_row": F.monotonically_increasing_id()})
+        own = summed(own.withColumn("_slice", F.shiftright("_row", 33)), ["_row"])
+        return own.withColumn(name, number([F.col("_slice")])).select(*df.columns, name)
+    order = list(order_by)
+    bounds = slice_bounds(df, order, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = staged.select(
+        by, "_span", slice_number(df, order, bounds).cast("bigint").alias("_slice"), size.alias("_size"),
+        *[F.col(c) for c in order if c not in (by, "_span")],
+    )
+    # One row an event, of its keys: written once, for the totals and the sums.
+    keys = stored(keys, "roll-keys")
+    before = Window.partitionBy(by, "_span").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     group = [by, "_span", "_slice"]
-    sums = Window.partitionBy(*group).orderBy(*inside).rowsBetween(Window.unboundedPreceding, -1)
-    placed = staged.withColumns({
-        "_bytes": F.coalesce(F.sum("_size").over(sums), F.lit(0)), "_events": F.count(F.lit(1)).over(sums),
+    totals = keys.groupBy(*group).agg(F.sum("_size").alias("_all"), F.count(F.lit(1)).alias("_rows")).select(
+        *[F.col(c).alias(f"{c}_t") for c in group],
+        F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_bytes0"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_events0"),
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_t")) for c in group]
+    placed = summed(keys, order).join(totals, same).withColumns({
+        "_bytes": F.col("_bytes") + F.col("_bytes0"), "_events": F.col("_events") + F.col("_events0"),
     })
-    if order_by:
-        before = Window.partitionBy(by, "_span").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        totals = staged.groupBy(*group).agg(F.sum("_size").alias("_all"), F.count(F.lit(1)).alias("_rows"))
-        totals = totals.select(
-            *[F.col(c).alias(f"{c}_t") for c in group],
-            F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_bytes0"),
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_events0"),
-        )
-        same = [F.col(c).eqNullSafe(F.col(f"{c}_t")) for c in group]
-        placed = placed.join(totals, same).withColumns({
-            "_bytes": F.col("_bytes") + F.col("_bytes0"), "_events": F.col("_events") + F.col("_events0"),
-        })
-    parts = [F.coalesce(F.col("_span").cast("string"), F.lit("none"))] if roll_interval else []
-    parts += [] if order_by else [F.col("_slice")]
-    parts += [F.floor(F.col("_bytes") / F.lit(roll_size))] if roll_size else []
-    parts += [F.floor(F.col("_events") / F.lit(roll_count))] if roll_count else []
-    number = F.concat_ws("-", *[p.cast("string") for p in parts])
-    return placed.withColumn(name, number).select(*df.columns, name)
+    firsts = placed.groupBy(by, "_span", number([]).alias(name)).agg(F.min(key_of(order)).alias("_key"))
+    table = stored(
+        firsts.groupBy(F.col(by).alias("_by"), F.col("_span").alias("_at")).agg(
+            F.sort_array(F.collect_list(F.struct("_key", name))).alias("_files")  # one entry a file
+        ).withColumn("_keys", F.col("_files._key")), "rolls",
+    )
+    most = table.agg(F.max(F.size("_files"))).first()[0] or 0
+    joined = staged.join(table, F.col(by).eqNullSafe(F.col("_by")) & F.col("_span").eqNullSafe(F.col("_at")))
+    place = not_above(F.col("_keys"), key_of(order), most) - 1
+    return joined.withColumn(name, F.get(F.col("_files"), place)[name]).select(*df.columns, name)
 
 
 def write_bucketed(
