@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.functions.text import decode_by
 from eventflow.schema import empty_body, header_map
 
 # Message patterns, header names and status words.
@@ -54,16 +56,24 @@ def keep_set(keep_fields: str | None) -> frozenset[str] | None:
     return frozenset(f for f in KEEPABLE if f in text)
 
 
-def split_messages(df: DataFrame, raw: str, max_size: int = DEFAULT_SIZE) -> DataFrame:
+def split_messages(
+    df: DataFrame, raw: str, max_size: int = DEFAULT_SIZE, as_bytes: bool = False
+) -> DataFrame:
     """Cut raw bytes into messages: one per non-blank line, over-long ones in pieces.
 
-    Adds ``message`` (binary) and ``cut`` (the piece reached the size limit).
+    Adds ``message`` (binary) and ``cut`` (the piece reached the size limit). ``as_bytes``
+    is for bytes that need not be UTF-8.
     """
     size = max(max_size, MIN_SIZE)
     text = F.col(raw).cast("string")
+    if as_bytes:  # a character for each byte, and back
+        text = F.decode(F.col(raw).cast("binary"), "ISO-8859-1")
+
+    def to_bytes(value: Column) -> Column:
+        return F.encode(value, "ISO-8859-1") if as_bytes else value.cast("binary")
 
     def pieces(line: Column) -> Column:
-        data = line.cast("binary")
+        data = to_bytes(line)
         count = F.ceil(F.octet_length(data) / F.lit(size)).cast("int")
         return F.transform(
             F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1),
@@ -72,8 +82,9 @@ def split_messages(df: DataFrame, raw: str, max_size: int = DEFAULT_SIZE) -> Dat
 
     lines = F.filter(F.split(text, "\n", -1), lambda x: x != "")
     # Most input is one short line already.
-    simple = (F.octet_length(text) <= size) & ~F.contains(text, F.lit("\n")) & (text != "")
-    parts = F.when(simple, F.array(text.cast("binary"))).otherwise(
+    length = F.char_length(text) if as_bytes else F.octet_length(text)
+    simple = (length <= size) & ~F.contains(text, F.lit("\n")) & (text != "")
+    parts = F.when(simple, F.array(to_bytes(text))).otherwise(
         F.flatten(F.transform(lines, pieces))
     )
     out = df.withColumn("message", F.explode(parts))
@@ -91,6 +102,9 @@ def parse_syslog(
     compat: bool = False,
     status_header: str = STATUS_HEADER,
     extra_headers: dict[str, Column] | None = None,
+    charset: str = "UTF-8",
+    port: Column | None = None,
+    port_charsets: dict[int, str] | None = None,
 ) -> DataFrame:
     """Parse raw syslog bytes or text into events (replaces ``headers`` and ``body``).
 
@@ -99,11 +113,23 @@ def parse_syslog(
     ignores the zone after a fraction and only ever rolls back. Columns of ``df``
     other than ``raw``/``headers``/``body`` are kept; ``extra_headers`` adds e.g. a
     port header.
+
+    Bytes are taken as ``charset``, or as what ``port_charsets`` has for their ``port``;
+    messages are cut at the byte 0x0A, so these must be ASCII-compatible. Headers and
+    bodies of events are UTF-8. An unknown charset raises.
     """
     now = F.current_timestamp() if now is None else now
     keep = keep_set(keep_fields)
     carried = [c for c in df.columns if c not in (raw, "headers", "body")]
-    cut = split_messages(df, raw, max_size)
+    names = [charset, *(port_charsets or {}).values()]
+    plain = all(codecs.lookup(n).name == "utf-8" for n in names)
+    cut = split_messages(df, raw, max_size, as_bytes=not plain)
+    if not plain:
+        chosen = F.lit(charset)
+        for number, name in (port_charsets or {}).items():
+            chosen = F.when(port.cast("int") == number, F.lit(name)).otherwise(chosen)
+        decoded = decode_by(F.col("message"), F.col("_charset"), names)
+        cut = cut.withColumn("_charset", chosen).withColumn("message", decoded.cast("binary"))
     text = F.col("message").cast("string")
     good = text.rlike(r"^<[0-9]{1,3}>")
     all_formats = [*formats, SyslogFormat(RFC5424), SyslogFormat(RFC3164)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import codecs
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -151,3 +153,33 @@ def regex_groups(text: Column, pattern: str, names: list[str]) -> list[Column]:
         F.when(hit, F.regexp_extract(text, rf"\A(?:{pattern})\z", i + 1)).alias(n)
         for i, n in enumerate(names)
     ]
+
+
+def decode_by(value: Column, charset: Column, names: list[str]) -> Column:
+    """Bytes to text, each row by its own charset; what a charset lacks becomes U+FFFD.
+
+    ``names`` lists the charsets that occur. UTF-8 and ISO-8859-1 stay in the JVM; others,
+    which Spark's ``decode`` lacks, are decoded by Python for whole Arrow batches.
+    """
+    canon = {n: codecs.lookup(n).name for n in dict.fromkeys(names)}
+    latin = [n for n, c in canon.items() if c == "iso8859-1"]
+    rest = [n for n, c in canon.items() if c not in ("iso8859-1", "utf-8")]
+    out = value.cast("string")
+    if latin:
+        out = F.when(charset.isin(*latin), F.decode(F.when(charset.isin(*latin), value), "ISO-8859-1")).otherwise(out)
+    if rest:
+        other = charset.isin(*rest)
+        out = F.when(other, _decoder()(F.when(other, value), F.when(other, charset))).otherwise(out)
+    return out
+
+
+def _decoder():
+    def decode(values, charsets):
+        import pyarrow as pa
+
+        return pa.array([
+            None if v is None else v.decode(c, "replace")
+            for v, c in zip(values.to_pylist(), charsets.to_pylist())
+        ], pa.string())
+
+    return F.arrow_udf(decode, "string")

@@ -139,6 +139,36 @@ def parse_syslog_documents(spark, sf):
     )
 
 
+_LATIN = "[^ -~\u00a1-\u00ff]"
+
+
+@query(
+    "parse_syslog_charsets",
+    f"""WITH d AS (SELECT doc_id, (514 + doc_id % 3)::VARCHAR AS port,
+    regexp_replace(substr(coalesce(text, ''), 1, 200), '{_LATIN}', '.', 'g') AS t FROM documents)
+SELECT doc_id, port, 'host-' || doc_id AS host,
+  'x' || CASE port WHEN '516' THEN chr(26085) || chr(26412) ELSE t END || 'x' AS body FROM d""",
+)
+def parse_syslog_charsets(spark, sf):
+    """Ports with UTF-8, ISO-8859-1 and Shift_JIS senders."""
+    port = F.lit(514) + F.pmod("doc_id", F.lit(3))
+    text = F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 200), _LATIN, ".")
+    sent = (
+        F.when(port == 514, text.cast("binary")).when(port == 515, F.encode(text, "ISO-8859-1"))
+        .otherwise(F.unhex(F.lit("93FA967B")))
+    )
+    start = F.concat(F.lit("<13>1 2024-05-06T07:08:09Z host-"), F.col("doc_id").cast("string"), F.lit(" x"))
+    raw = F.concat(start.cast("binary"), sent, F.lit("x\n").cast("binary"))
+    df = A.table(spark, sf, "documents").select("doc_id", port.alias("port"), raw.alias("body"))
+    parsed = S.parse_syslog(
+        df, port=F.col("port"), port_charsets={515: "ISO-8859-1", 516: "Shift_JIS"},
+        extra_headers={"port": F.col("port").cast("string")},
+    )
+    return parsed.select(
+        "doc_id", header("port").alias("port"), header("host").alias("host"), body_text().alias("body")
+    )
+
+
 @query(
     "typed_syslog_rows",
     f"""SELECT (({PRI}) // 8)::INT AS facility, (({PRI}) % 8)::INT AS severity,

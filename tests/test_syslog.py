@@ -135,3 +135,28 @@ def test_typed(spark):
     rows = S.typed_syslog(S.parse_syslog(df)).collect()
     assert tuple(rows[0]) == (1, 2, int(ms(2012, 4, 13, 11, 11, 11)), HOST, "m")
     assert tuple(rows[1]) == (0, 0, 0, "", "bad")
+
+
+def test_charsets_by_port(spark):
+    stamp = "<13>1 2024-05-06T07:08:09Z box "
+    rows = [
+        (1, f"{stamp}café\n{stamp}zwei".encode("latin-1")), (2, f"{stamp}日本語".encode("shift_jis")),
+        (3, f"{stamp}naïve".encode()), (4, f"{stamp}".encode() + b"bad \xff"), (5, f"{stamp}Łódź".encode("cp1250")),
+        (2, f"{stamp}ok ".encode() + b"\x81"), (1, None),
+    ]
+    df = spark.createDataFrame(rows, "p int, body binary")
+    out = S.parse_syslog(
+        df, charset="UTF-8", port=F.col("p"), port_charsets={1: "latin1", 2: "Shift_JIS", 5: "windows-1250"}
+    )
+    got = sorted((r.p, bytes(r.body).decode()) for r in out.collect())
+    assert got == [(1, "café"), (1, "zwei"), (2, "ok \ufffd"), (2, "日本語"), (3, "naïve"), (4, "bad \ufffd"), (5, "Łódź")]
+    whole = S.parse_syslog(df.where("p = 1"), charset="ISO-8859-1")
+    assert sorted(bytes(r.body).decode() for r in whole.collect()) == ["café", "zwei"]
+    with pytest.raises(LookupError):
+        S.parse_syslog(df, charset="no-such")
+
+
+def test_long_messages_of_other_charsets_are_cut_at_bytes(spark):
+    df = spark.createDataFrame([(("<13>" + "é" * 30).encode("latin-1"),)], "body binary")
+    out = S.split_messages(df, "body", 12, as_bytes=True).collect()
+    assert [len(r.message) for r in out] == [12, 12, 10] and [r.cut for r in out] == [True, True, False]
