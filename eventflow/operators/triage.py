@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from eventflow.functions import headers as hdr
 
@@ -37,6 +40,43 @@ def typed_rows(
     return df.withColumn(name, F.explode(parsed))
 
 
+def typed_rows_by(
+    df: DataFrame,
+    parse: Callable[[bytes], Iterable[tuple]],
+    ddl: str,
+    *,
+    first_only: bool = False,
+) -> DataFrame:
+    """Bodies to 0..n typed rows by a Python function, for forms that no Column can read.
+
+    ``parse`` takes a body and gives the records' values in the order of ``ddl``; a body on
+    which it raises ValueError gives no row, and so does a null one. The function is a table
+    function that meets each event by a lateral join: it runs where the events are (nothing
+    is shuffled), bodies and rows pass in Arrow batches, and it may give any number of rows.
+    All columns of ``df`` stay, the record's columns come last.
+    """
+    table = _record_table(parse, first_only)
+    return df.lateralJoin(table(F.col("body").outer(), F.lit(T.StructType.fromDDL(ddl).json())))
+
+
+def _record_table(parse: Callable[[bytes], Iterable[tuple]], first_only: bool):
+    class Records:
+        @staticmethod
+        def analyze(body: AnalyzeArgument, schema: AnalyzeArgument) -> AnalyzeResult:
+            if body.dataType != T.BinaryType():
+                raise ValueError("records are read from a binary body")
+            return AnalyzeResult(schema=T.StructType.fromJson(json.loads(schema.value)))
+
+        def eval(self, body: bytes, schema: str):
+            try:
+                records = [] if body is None else [tuple(r) for r in parse(bytes(body))]
+            except ValueError:
+                return
+            yield from records[:1] if first_only else records
+
+    return F.udtf(Records, useArrow=True)
+
+
 def undecodable(df: DataFrame, parse: str | Callable[[Column], Column]) -> DataFrame:
     """The events ``typed_rows`` drops: unparseable or empty."""
     parsed = (json_records(parse) if isinstance(parse, str) else parse)(F.col("body"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.functions import text as X
-from eventflow.operators.triage import typed_rows, undecodable
+from eventflow.operators.triage import typed_rows, typed_rows_by, undecodable
 from eventflow.plans import adapters as A
 from eventflow.plans.registry import MS, query
 from eventflow.schema import body_text, header, to_events
@@ -166,6 +166,24 @@ def typed_rows_from_bodies(spark, sf):
     return rows.select("conv_id", "row.turn", "row.role")
 
 
+@query(
+    "typed_rows_udtf",
+    "SELECT conv_id, turn, role, length(role)::INTEGER AS size FROM conversations WHERE conv_id % 4 <> 1",
+)
+def typed_rows_udtf(spark, sf):
+    """As typed_rows_from_bodies, by a Python table function."""
+
+    def records(body: bytes):
+        import json
+
+        return [(r["turn"], r["role"], len(r["role"])) for r in json.loads(body)]
+
+    rows = typed_rows_by(
+        _record_arrays(spark, sf).select("conv_id", "body"), records, "turn bigint, role string, size int"
+    )
+    return rows.select("conv_id", "turn", "role", "size")
+
+
 @query(
     "first_row_from_bodies",
     "SELECT conv_id, turn // 3 AS batch_no, min(turn) AS turn FROM conversations "

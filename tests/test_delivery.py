@@ -254,3 +254,25 @@ def test_custom_body_parser(spark):
 
     assert [r.row for r in T.typed_rows(df, words).collect()] == ["a", "b"]
     assert T.undecodable(df, words).count() == 1
+
+
+def test_typed_rows_by_a_table_function(spark):
+    def parse(body):
+        if body == b"bad":
+            raise ValueError("no records")
+        return [(w.decode(), len(w)) for w in body.split(b" ") if w]
+
+    rows = [("a", b"x yy"), ("b", b""), ("c", b"bad"), ("d", None), ("e", b"x yy"), ("e", b"x yy")]
+    df = spark.createDataFrame(rows, "k string, body binary").repartition(3)
+    out = T.typed_rows_by(df, parse, "word string, size int")
+    assert out.columns == ["k", "body", "word", "size"]
+    assert sorted((r.k, r.word, r.size) for r in out.collect()) == [
+        ("a", "x", 1), ("a", "yy", 2), ("e", "x", 1), ("e", "x", 1), ("e", "yy", 2), ("e", "yy", 2)
+    ]
+    first = T.typed_rows_by(df, parse, "word string, size int", first_only=True)
+    assert sorted((r.k, r.word) for r in first.collect()) == [("a", "x"), ("e", "x"), ("e", "x")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPythonUDTF" in plan and "hashpartitioning" not in plan
+    assert T.typed_rows_by(df.limit(0), parse, "word string, size int").count() == 0
+    with pytest.raises(Exception, match="binary"):
+        T.typed_rows_by(df.withColumn("body", F.lit("x")), parse, "word string, size int").collect()
