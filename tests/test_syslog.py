@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from eventflow.functions import syslog as S
 
-HOST = "ubuntu-11.example.com"
+HOST = "node-7.shop.test"
 
 
 def parse(spark, *lines, **options):
@@ -20,15 +20,15 @@ def ms(*parts, milli=0):
 @pytest.mark.parametrize(
     "line, stamp, host",
     [
-        (f"<10>1 2012-04-13T11:11:11 {HOST} some msg", ms(2012, 4, 13, 11, 11, 11), HOST),
-        (f"<10>1 2012-04-13T11:11:11Z {HOST} some msg", ms(2012, 4, 13, 11, 11, 11), HOST),
-        (f"<10>1 2012-04-13T11:11:11+08:00 {HOST} some msg", ms(2012, 4, 13, 3, 11, 11), HOST),
-        (f"<10>2012-04-13T11:11:11+08:00 {HOST} some msg", ms(2012, 4, 13, 3, 11, 11), HOST),
-        (f"<10>1 - {HOST} some msg", None, HOST),
-        ("<10>1 2012-04-13T11:11:11 - some msg", ms(2012, 4, 13, 11, 11, 11), None),
-        (f"<10>1 2012-04-13T11:11:11.999 {HOST} some msg", ms(2012, 4, 13, 11, 11, 11, milli=999), HOST),
-        (f"<10>1 2012-04-13T11:11:11.999999Z {HOST} some msg", ms(2012, 4, 13, 11, 11, 11, milli=999), HOST),
-        (f"<10>1 2012-04-13T11:11:11.5+01:00 {HOST} some msg", ms(2012, 4, 13, 10, 11, 11, milli=500), HOST),
+        (f"<10>1 2021-09-07T11:11:11 {HOST} disk is full", ms(2021, 9, 7, 11, 11, 11), HOST),
+        (f"<10>1 2021-09-07T11:11:11Z {HOST} disk is full", ms(2021, 9, 7, 11, 11, 11), HOST),
+        (f"<10>1 2021-09-07T11:11:11+08:00 {HOST} disk is full", ms(2021, 9, 7, 3, 11, 11), HOST),
+        (f"<10>2021-09-07T11:11:11+08:00 {HOST} disk is full", ms(2021, 9, 7, 3, 11, 11), HOST),
+        (f"<10>1 - {HOST} disk is full", None, HOST),
+        ("<10>1 2021-09-07T11:11:11 - disk is full", ms(2021, 9, 7, 11, 11, 11), None),
+        (f"<10>1 2021-09-07T11:11:11.999 {HOST} disk is full", ms(2021, 9, 7, 11, 11, 11, milli=999), HOST),
+        (f"<10>1 2021-09-07T11:11:11.999999Z {HOST} disk is full", ms(2021, 9, 7, 11, 11, 11, milli=999), HOST),
+        (f"<10>1 2021-09-07T11:11:11.5+01:00 {HOST} disk is full", ms(2021, 9, 7, 10, 11, 11, milli=500), HOST),
     ],
 )
 def test_rfc5424(spark, line, stamp, host):
@@ -36,14 +36,14 @@ def test_rfc5424(spark, line, stamp, host):
     assert (headers["Facility"], headers["Severity"], headers["priority"]) == ("1", "2", "10")
     assert headers.get("timestamp") == stamp and headers.get("host") == host
     assert ("version" in headers) == line.startswith("<10>1 ")
-    assert body == "some msg" and "syslog.status" not in headers
+    assert body == "disk is full" and "syslog.status" not in headers
 
 
 def test_compat_ignores_the_zone_after_a_fraction(spark):
-    [(headers, _)] = parse(spark, f"<10>1 2012-04-13T11:11:11.5+08:00 {HOST} m", compat=True)
-    assert headers["timestamp"] == ms(2012, 4, 13, 11, 11, 11, milli=5)
-    [(headers, _)] = parse(spark, f"<10>1 2012-04-13T11:11:11+08:00 {HOST} m", compat=True)
-    assert headers["timestamp"] == ms(2012, 4, 13, 3, 11, 11)
+    [(headers, _)] = parse(spark, f"<10>1 2021-09-07T11:11:11.5+08:00 {HOST} m", compat=True)
+    assert headers["timestamp"] == ms(2021, 9, 7, 11, 11, 11, milli=5)
+    [(headers, _)] = parse(spark, f"<10>1 2021-09-07T11:11:11+08:00 {HOST} m", compat=True)
+    assert headers["timestamp"] == ms(2021, 9, 7, 3, 11, 11)
 
 
 @pytest.mark.parametrize(
@@ -59,14 +59,14 @@ def test_compat_ignores_the_zone_after_a_fraction(spark):
 )
 def test_rfc3164_year(spark, stamp, now, year, compat):
     clock = F.lit(datetime(*now, tzinfo=timezone.utc)).cast("timestamp")
-    [(headers, body)] = parse(spark, f"<10>{stamp} {HOST} some msg", now=clock, compat=compat)
+    [(headers, body)] = parse(spark, f"<10>{stamp} {HOST} disk is full", now=clock, compat=compat)
     assert datetime.fromtimestamp(int(headers["timestamp"]) / 1000, timezone.utc).year == year
-    assert headers["host"] == HOST and body == "some msg"
+    assert headers["host"] == HOST and body == "disk is full"
 
 
 @pytest.mark.parametrize(
     "line",
-    ["<10F> bad bad data", "hi guys! <10> bad bad data", "<> bad bad data", "<1234>x", "<12", "plain"],
+    ["<7X> no number", "late <7> start", "<> bad bad data", "<1234>x", "<12", "plain"],
 )
 def test_bad_priority(spark, line):
     [(headers, body)] = parse(spark, line)
@@ -81,7 +81,7 @@ def test_good_priority_but_unknown_shape_keeps_the_raw_line(spark):
 
 
 def test_several_lines_blank_lines_and_good_after_bad(spark):
-    raw = f"<10> bad\n\n\n<10>1 2012-04-13T11:11:11 {HOST} one\n<11>1 - {HOST} two\n"
+    raw = f"<10> bad\n\n\n<10>1 2021-09-07T11:11:11 {HOST} one\n<11>1 - {HOST} two\n"
     out = parse(spark, raw)
     assert [b for _, b in out] == ["<10> bad", "one", "two"]
     assert [h["Severity"] for h, _ in out] == ["2", "2", "3"]
@@ -104,18 +104,18 @@ def test_size_counts_bytes(spark):
 @pytest.mark.parametrize(
     "keep, expected",
     [
-        (None, "some msg"),
-        ("none", "some msg"),
-        ("false", "some msg"),
-        ("all", f"<10>1 2012-04-13T11:11:11 {HOST} some msg"),
-        ("true", f"<10>1 2012-04-13T11:11:11 {HOST} some msg"),
-        ("hostname", f"{HOST} some msg"),
-        ("timestamp hostname", f"2012-04-13T11:11:11 {HOST} some msg"),
-        ("priority version", "<10>1 some msg"),
+        (None, "disk is full"),
+        ("none", "disk is full"),
+        ("false", "disk is full"),
+        ("all", f"<10>1 2021-09-07T11:11:11 {HOST} disk is full"),
+        ("true", f"<10>1 2021-09-07T11:11:11 {HOST} disk is full"),
+        ("hostname", f"{HOST} disk is full"),
+        ("timestamp hostname", f"2021-09-07T11:11:11 {HOST} disk is full"),
+        ("priority version", "<10>1 disk is full"),
     ],
 )
 def test_keep_fields(spark, keep, expected):
-    [(_, body)] = parse(spark, f"<10>1 2012-04-13T11:11:11 {HOST} some msg", keep_fields=keep)
+    [(_, body)] = parse(spark, f"<10>1 2021-09-07T11:11:11 {HOST} disk is full", keep_fields=keep)
     assert body == expected
 
 
@@ -131,9 +131,9 @@ def test_user_format_comes_first(spark):
 
 
 def test_typed(spark):
-    df = spark.createDataFrame([(f"<10>1 2012-04-13T11:11:11Z {HOST} m",), ("bad",)], "body string")
+    df = spark.createDataFrame([(f"<10>1 2021-09-07T11:11:11Z {HOST} m",), ("bad",)], "body string")
     rows = S.typed_syslog(S.parse_syslog(df)).collect()
-    assert tuple(rows[0]) == (1, 2, int(ms(2012, 4, 13, 11, 11, 11)), HOST, "m")
+    assert tuple(rows[0]) == (1, 2, int(ms(2021, 9, 7, 11, 11, 11)), HOST, "m")
     assert tuple(rows[1]) == (0, 0, 0, "", "bad")
 
 
