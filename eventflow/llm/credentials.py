@@ -106,34 +106,30 @@ def linked(text: str, base: list[Span], weak: list[Span], reach: int) -> list[Sp
     if not weak:
         return []
     strong = sorted(base)
-    starts, ends = [s[0] for s in strong], np.maximum.accumulate([s[1] for s in strong] or [0])
-    free = []
-    for s in weak:
-        i = int(np.searchsorted(starts, s[1]))
-        if not (i and ends[i - 1] > s[0]):
-            free.append(s)
+    starts = np.array([s[0] for s in strong], np.int64)
+    ends = np.maximum.accumulate([-1, *(s[1] for s in strong)])  # of the strong spans before
+    before = ends[np.searchsorted(starts, [s[1] for s in weak])]
+    free = [s for s, end in zip(weak, before) if end <= s[0]]
     if not free:
         return []
     breaks = [m.start() for m in SCOPE_BREAK.finditer(text)]
     everything = strong + free
-    scope = np.searchsorted(breaks, [s[0] for s in everything], side="right")
+    a, b = (np.array([s[x] for s in everything], np.int64) for x in (0, 1))
     part = np.array([PARTS[s[2]] for s in everything])
-    a, b = (np.array([s[x] for s in everything]) for x in (0, 1))
+    # Each scope has its own stretch of one axis, wider than the text and the reach.
+    base_of = np.searchsorted(breaks, a, side="right") * (len(text) + reach + 2)
     near = np.zeros(len(everything), int)
     for bit in (IDENT, VALUE, PLACE):
-        rows = np.flatnonzero(part == bit)
-        if not len(rows):
+        own = np.flatnonzero(part == bit)
+        if not len(own):
             continue
         # In one scope: the nearest span that begins at or before each end plus reach, and
         # the furthest end among those.
-        for g in np.unique(scope[rows]):
-            own = rows[scope[rows] == g]
-            own = own[np.argsort(a[own], kind="stable")]
-            far = np.maximum.accumulate(b[own])
-            mine = np.flatnonzero(scope == g)
-            at = np.searchsorted(a[own], b[mine] + reach, side="right")
-            hit = (at > 0) & (far[np.maximum(at - 1, 0)] >= a[mine] - reach)
-            near[mine[hit]] |= bit
+        own = own[np.argsort(base_of[own] + a[own], kind="stable")]
+        far = np.maximum.accumulate(base_of[own] + b[own])
+        at = np.searchsorted(base_of[own] + a[own], base_of + b + reach, side="right")
+        hit = (at > 0) & (far[np.maximum(at - 1, 0)] >= base_of + np.maximum(a - reach, 0))
+        near[hit] |= bit
     need = {IDENT: VALUE, PLACE: VALUE, VALUE: IDENT | PLACE}
     n = len(strong)
     return [s for i, s in enumerate(free, n) if near[i] & need[PARTS[s[2]]]]
@@ -169,9 +165,9 @@ def scan(docs: DataFrame, text: str = "text", *, reach: int = 200) -> DataFrame:
             for value in batch.column(text):
                 t = value.as_py() or ""
                 base = base_spans(t)
-                weak = linked(t, base, weak_spans(t), reach)
+                weak, sure = linked(t, base, weak_spans(t), reach), set(base)
                 found.append([
-                    {"start": s, "end": e, "kind": k, "value": t[s:e], "linked": (s, e, k) not in base}
+                    {"start": s, "end": e, "kind": k, "value": t[s:e], "linked": (s, e, k) not in sure}
                     for s, e, k in in_order(base + weak)
                 ])
             yield pa.RecordBatch.from_arrays(

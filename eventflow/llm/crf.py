@@ -6,13 +6,15 @@ import math
 import random
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from eventflow.llm.dom import Block, leaf_blocks
+from eventflow.llm.dom import Block, Node, leaf_blocks
 
 # Word groups of class names, ids and roles.
 GROUPS = {
@@ -31,26 +33,42 @@ GROUPS = {
             "document paragraph",
     "hide": "hidden",
 }
+NEAR = frozenset("nav header footer aside form article main section dialog".split())
 GROUP_OF = {word: group for group, words in GROUPS.items() for word in words.split()}
 
 
-def path_features(path: tuple[str, ...]) -> list[str]:
-    """Ancestor tags and the word groups of their attributes, the nearest ones apart."""
-    found, near = {"bias"}, []
-    for entry in path:
+class Path(NamedTuple):
+    """What the field reads of a block's ancestors."""
+
+    found: frozenset[str] = frozenset()  # tags and word groups, a bounded set
+    near: str = ""  # the nearest of the telling tags and groups
+    leaf: str = ""
+    over: str = ""
+
+    def below(self, entry: str) -> Path:
         tag, *tokens = entry.split(" ")
-        found.add(f"tag={tag}")
-        if tag in ("nav", "header", "footer", "aside", "form", "article", "main", "section", "dialog"):
-            near.append(tag)
-        for token in tokens:
-            if token in GROUP_OF:
-                found.add(f"group={GROUP_OF[token]}")
-                near.append(GROUP_OF[token])
-    found.add(f"near={near[-1] if near else ''}")
-    tags = [entry.split(" ")[0] for entry in path[-2:]]
-    found.add(f"leaf={tags[-1] if tags else ''}")
-    found.add(f"over={tags[0] if len(tags) > 1 else ''}")
-    return sorted(found)
+        groups = [GROUP_OF[t] for t in tokens if t in GROUP_OF]
+        near = groups[-1] if groups else tag if tag in NEAR else self.near
+        own = {f"tag={tag}", *(f"group={g}" for g in groups)}
+        found = self.found if own <= self.found else self.found | own
+        return Path(found, near, tag, self.leaf)
+
+
+def path_of(node: Node | None) -> Path:
+    """Made once for each node, from its parent's."""
+    waiting = []
+    while node is not None and node.state is None:
+        waiting.append(node)
+        node = node.parent
+    path = Path() if node is None else node.state
+    for node in reversed(waiting):
+        path = node.state = path.below(node.entry)
+    return path
+
+
+def path_features(path: Path) -> list[str]:
+    """Ancestor tags and the word groups of their attributes, the nearest ones apart."""
+    return sorted({"bias", *path.found, f"near={path.near}", f"leaf={path.leaf}", f"over={path.over}"})
 
 
 def text_features(block: Block, place: int, count: int) -> list[str]:
@@ -77,15 +95,16 @@ class Field:
 
     weights: dict[str, float]
     steps: list[list[float]]  # steps[a][b]: label a, then b
-    paths: dict[tuple[str, ...], float] = field(default_factory=dict)
+    paths: dict[Path, float] = field(default_factory=dict)
 
     def emission(self, block: Block, place: int, count: int) -> float:
-        score = self.paths.get(block.path)
+        path = path_of(block.node)
+        score = self.paths.get(path)
         if score is None:
             if len(self.paths) > 10_000:
                 self.paths.clear()
-            score = sum(self.weights.get(f, 0.0) for f in path_features(block.path))
-            self.paths[block.path] = score
+            score = sum(self.weights.get(f, 0.0) for f in path_features(path))
+            self.paths[path] = score
         return score + sum(self.weights.get(f, 0.0) for f in text_features(block, place, count))
 
     def decode(self, blocks: list[Block]) -> list[bool]:
@@ -113,7 +132,7 @@ def fit(pages: list[tuple[list[Block], list[bool]]], *, epochs: int = 12, seed:
     data = []
     for blocks, labels in pages:
         rows = [
-            [index.setdefault(f, len(index)) for f in (*path_features(b.path), *text_features(b, i, len(blocks)))]
+            [index.setdefault(f, len(index)) for f in (*path_features(path_of(b.node)), *text_features(b, i, len(blocks)))]
             for i, b in enumerate(blocks)
         ]
         data.append((rows, np.array(labels, int)))
@@ -292,8 +311,9 @@ def labelled_pages(count: int = 300, seed: int = 3) -> list[tuple[list[Block], l
     return out
 
 
+@cache
 def trained(pages: int = 300, seed: int = 3) -> Field:
-    """The field fitted on ``pages`` labelled pages."""
+    """The field fitted on ``pages`` labelled pages, once in a process."""
     return fit(labelled_pages(pages, seed))
 
 

@@ -6,12 +6,10 @@ import html
 import re
 from typing import NamedTuple
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>",
-    re.DOTALL,
-)
+OPEN = re.compile(r"<!--|<!\[CDATA\[|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)|<[!?/]")
+HIDDEN = re.compile(r"<!--|<!\[CDATA\[")
+QUOTED = re.compile(r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+SPECIAL = re.compile("[>\"']")
 ATTRIBUTE = re.compile(
     r"""([a-zA-Z_:][a-zA-Z0-9_:.-]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?"""
 )
@@ -42,11 +40,79 @@ ENDS = {
 SCOPE = {"table", "td", "th", "button", "caption"}
 
 
+class Node:
+    """An open block element; ``state`` is what a reader of the tree keeps with it."""
+
+    __slots__ = ("entry", "parent", "state")
+
+    def __init__(self, entry: str, parent: Node | None) -> None:
+        self.entry, self.parent, self.state = entry, parent, None
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # ancestors, outermost first: "tag" or "tag token token"
+    node: Node | None  # the nearest ancestor; nodes are shared by the blocks below them
     linked: float  # share of the characters inside links
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Ancestors, outermost first: "tag" or "tag token token"."""
+        out, node = [], self.node
+        while node is not None:
+            out.append(node.entry)
+            node = node.parent
+        return tuple(reversed(out))
+
+
+class Tokens:
+    """Tags of a page in order; comments and CDATA sections give no tag.
+
+    A tag ends at the first ``>`` outside quotes or, where quotes do not pair up, at the
+    first one. Every scan that fails is remembered, so a page is read in linear time: no tag
+    ends after the last ``>``, and a quote from which no end was found is not tried again.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.dead = page, page.rfind(">"), set()
+
+    def attributes(self, at: int) -> str | None:
+        """The rest of a tag, quotes paired up; its ``>`` is left out."""
+        if not self.dead:
+            found = QUOTED.match(self.page, at)
+            if found:
+                return found[1]
+        met, place = [], at
+        while (m := SPECIAL.search(self.page, place)) and m.start() not in self.dead:
+            if m[0] == ">":
+                return self.page[at : m.start()]
+            met.append(m.start())
+            place = self.page.find(m[0], m.end()) + 1
+            if not place:
+                break
+        self.dead.update(met)
+        return None
+
+    def after(self, at: int) -> tuple[int, int, str, bool, str]:
+        """(start, end, name, closing, attributes) of the next markup; start -1: no more."""
+        page = self.page
+        m = (OPEN if at <= self.last else HIDDEN).search(page, at)
+        while m:
+            if m[0] in ("<!--", "<![CDATA["):
+                mark = "-->" if m[0] == "<!--" else "]]>"
+                end = page.find(mark, m.end())
+                return m.start(), len(page) if end < 0 else end + len(mark), "", False, ""
+            if m.end() > self.last:
+                m = HIDDEN.search(page, m.start())
+                continue
+            name = m[2] if m.re is OPEN else None
+            if name:
+                source = self.attributes(m.end())
+                if source is None:
+                    source = page[m.end() : page.find(">", m.end())]
+                return m.start(), m.end() + len(source) + 1, name.lower(), bool(m[1]), source
+            return m.start(), page.find(">", m.end()) + 1, "", False, ""
+        return -1, len(page), "", False, ""
+
 
 def attribute_tokens(source: str) -> str:
     """Lower-case words of class, id, role and hiding attributes."""
@@ -71,10 +137,10 @@ def leaf_blocks(page: str) -> list[Block]:
     text like other inline elements. Missing end tags are implied as in the standard; a line break inside a block counts as white space.
     """
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # (tag, attributes)
+    stack: list[tuple[str, Node | None]] = []  # (tag, nearest block element)
+    places: dict[str, list[int]] = {}  # of open elements, by tag
     pieces: list[str] = []
-    links = linked = 0
-    path: tuple[str, ...] = ()
+    linked = 0
 
     def flush() -> None:
         nonlocal linked
@@ -82,45 +148,37 @@ def leaf_blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
                 raw = sum(len(p) for p in pieces)
-                out.append(Block(text, path, min(1.0, linked / max(raw, 1))))
+                out.append(Block(text, stack[-1][1] if stack else None, min(1.0, linked / max(raw, 1))))
             pieces.clear()
         linked = 0
 
     def pop_to(depth: int) -> None:
-        nonlocal links, path
-        blocks = 0
         for tag, _ in stack[depth:]:
-            links -= tag == "a"
-            blocks += tag in BLOCKS
+            places[tag].pop()
         del stack[depth:]
-        if blocks:
-            path = path[:-blocks]
+
+    def last(tags: set[str] | frozenset[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
     def find(tags: set[str] | frozenset[str], stop: set[str]) -> int:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                return i
-            if stack[i][0] in stop:
-                return -1
-        return -1
-
-    at, end = 0, len(page)
+        depth = last(tags)
+        return depth if depth > last(stop) else -1
+
+    tokens, at, end = Tokens(page), 0, len(page)
     while at < end:
-        m = TOKEN.search(page, at)
-        text = page[at : m.start()] if m else page[at:]
+        start, after, tag, closing, source = tokens.after(at)
+        text = page[at:start] if start >= 0 else page[at:]
         if text:
             pieces.append(text)
-            if links:
+            if places.get("a"):
                 linked += len(text)
-        if not m:
+        if start < 0:
             break
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+        at = after
+        if not tag:
             continue
-        tag, closing, source = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            depth = len(stack) - 1 if stack and stack[-1][0] == tag else find({tag}, set())
+            depth = last({tag})
             if tag in BLOCKS and (depth >= 0 or tag == "p"):
                 flush()
             if depth >= 0:
@@ -130,7 +188,8 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         if tag in RAW:
             if not source.endswith("/"):
-                close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*+>", re.IGNORECASE).search(page, at)
+                # Only up to the last ">": no end tag is complete after it.
+                close = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*+>", re.IGNORECASE).search(page, at, tokens.last + 1)
                 at = close.end() if close else end
             continue
         if tag in BLOCKS:
@@ -143,10 +202,11 @@ def leaf_blocks(page: str) -> list[Block]:
             if tag != "wbr":
                 pieces.append(" ")
             continue
-        stack.append((tag, source))
+        node = stack[-1][1] if stack else None
         if tag in BLOCKS:
-            tokens = attribute_tokens(source) if source and not source.isspace() else ""
-            path = (*path, f"{tag} {tokens}" if tokens else tag)
-        links += tag == "a"
+            words = attribute_tokens(source) if source and not source.isspace() else ""
+            node = Node(f"{tag} {words}" if words else tag, node)
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node))
     flush()
     return out

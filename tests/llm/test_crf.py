@@ -91,3 +91,24 @@ def test_only_raw_text_hides_the_rest(model):
     assert texts("<p>a<style>b<p>c") == texts("<p>a<iframe>b</p>c") == ["a"]
     page = PAGE.replace("text a lot", "text").replace("as it ends here", "as <math><mi>x</mi><mo>=</mo><mn>1</mn></math> ends here")
     assert "Last paragraph of the text, as x=1 ends here." in crf.main_text(page, model)
+
+
+def test_hostile_pages_take_linear_time(model):
+    from time import process_time
+
+    n = 1 << 20  # bytes of a page
+    for unit in ("<div>a", "<p><table><p>x", "<li><b>x", "<a", "<!", '<a ">"', "<a '\">", '<a "', "</i>", "<ul><li class=ad>x"):
+        start = process_time()
+        crf.main_text("<b>" * 9_000 + unit * (n // len(unit)), model)
+        assert process_time() - start < 20, unit
+    assert len(leaf_blocks("<script>" + "</script " * (n // 9))) == 0
+    deep = leaf_blocks("<div>a" * 8_000)
+    assert len(deep[-1].path) == 8_000 and deep[-1].node.parent is deep[-2].node
+
+
+def test_tags_end_at_the_first_mark_outside_quotes():
+    texts = lambda page: [b.text for b in leaf_blocks(page)]
+    assert texts("""<p a='>' b=">">x</p>y""") == ["x", "y"]
+    assert texts('<p ">"<p ">"x') == ['"', '"x'] and texts('<p ">x') == ["x"]
+    assert texts("a<p b<!--c>d") == ["a", "d"] and texts("a<p b<!--c") == ["a<p b"]
+    assert texts("<script>a</script b") == [] and texts("<script>a</script b>c") == ["c"]
