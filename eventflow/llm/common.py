@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,22 @@ def row_key(id_column: str, text_column: str) -> Column:
     )
 
 
+def released(run: Callable) -> Callable:
+    """A function over record batches that gives its memory back at the end of a task.
+
+    Python workers outlive their tasks; what the Arrow pool keeps would add up over stages.
+    """
+
+    @wraps(run)
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def utf8_column(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text or binary column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import utf8_column
+from eventflow.llm.common import released, utf8_column
 from eventflow.llm.hashing import WordHasher, fold_ascii, shingles, spaces_and_marks
 
 SHINGLE = 5
@@ -21,10 +21,12 @@ KNOWN_SLOTS = 1 << 20
 ITEM_BLOCK = 4096  # items matched at once
 
 
-def words_of(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def words_of(
+    column: pa.Array, hasher: WordHasher | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Word hashes by chunk: lower case, words are split at ASCII marks and white space."""
     data, offsets = utf8_column(pc.utf8_lower(column.cast(pa.large_string())))
-    yield from WordHasher(spaces_and_marks(), fold_ascii())(data, offsets)
+    yield from (hasher or WordHasher(spaces_and_marks(), fold_ascii()))(data, offsets)
 
 
 def simhash(h: np.ndarray) -> np.ndarray:
@@ -160,11 +162,12 @@ def find_contamination(
         index["similarity"] = similarity
         shared = spark.sparkContext.broadcast(index)  # some ITEM_BLOCK items
 
+        @released
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            at = shared.value
+            at, hasher = shared.value, WordHasher(spaces_and_marks(), fold_ascii())
             for batch in batches:
                 found = batch.column("contamination").to_pylist()
-                for first, words, bounds in words_of(batch.column(text)):
+                for first, words, bounds in words_of(batch.column(text), hasher):
                     h, ends = shingles(words, bounds, SHINGLE)
                     maybe = np.flatnonzero(at["slots"][(h & np.uint64(KNOWN_SLOTS - 1)).astype(np.int64)])
                     lo = np.searchsorted(at["known"], h[maybe])

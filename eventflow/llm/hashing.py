@@ -13,7 +13,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15
 SECOND = 0xD1342543DE82EF95  # for hashes independent of the first ones
-CHUNK = 1 << 21  # bytes hashed at once
+CHUNK = 1 << 19  # bytes hashed at once
 
 
 def mix(h: np.ndarray) -> np.ndarray:

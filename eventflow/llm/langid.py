@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.llm.common import released
+
 BUCKETS = 1 << 16
 DIM = 16
 MULTIPLIER, TRIGRAM, SPREAD = np.uint32(0x01000193), np.uint32(0x5BD1E995), np.uint32(0x9E3779B1)
@@ -206,6 +208,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
          T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
     )
 
+    @released
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, subwords = Model(**shared.value), Subwords()
         for batch in batches:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.llm.common import row_key, stored
+from eventflow.llm.common import released, row_key, stored
 
 
 # Repeats that are sent to all tasks at most: documents, and windows in them.
@@ -84,6 +84,7 @@ def drop_repeated_runs(
     """
     rows = docs.drop("n_lines", "n_removed", "n_runs").withColumn("__run_key", row_key(id_column, text_column))
 
+    @released
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["fingerprint", "digest", "id", "key", "start", "lines", "new"]
         kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
@@ -141,6 +142,7 @@ def drop_repeated_runs(
     # The outer join puts the columns in this order.
     merged = rows.join(later.withColumnRenamed("key", "__run_key"), "__run_key", "left").drop("__run_key")
 
+    @released
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], [[], [], []]

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import row_key, stored, task_partitions, utf8_column
+from eventflow.llm.common import released, row_key, stored, task_partitions, utf8_column
 from eventflow.llm.components import components
 from eventflow.llm.hashing import WordHasher, fold_ascii, shingles, spaces
 
@@ -55,6 +55,7 @@ def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
              pa.array(blobs, pa.binary())], names=["block", "salt", "counts"],
         )
 
+    @released
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -98,6 +99,7 @@ def _postings(docs: DataFrame, counts: np.ndarray, k: int, percent: int) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # SLOTS * 4 bytes, always
     mean = float(counts.mean())
 
+    @released
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
         for batch, row, h, bounds in _shingle_batches(batches, "text", k):
@@ -148,6 +150,7 @@ def _members(postings: DataFrame) -> DataFrame:
         + [(f"{x}_{c}", t) for x in "fp" for c, t in (("nid", pa.int64()), ("size", pa.int32()), ("pos", pa.int32()))]
     )
 
+    @released
     def stream(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting, lead = None, 0, None
 
@@ -258,6 +261,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     texts = docs.select("nid", "text").join(wanted, "nid", "left_semi")
     texts = stored(texts.dropDuplicates(["nid"]), "join-texts")
 
+    @released
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher(spaces(), fold_ascii())
 
@@ -296,6 +300,7 @@ def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
     held. Runs of one label never get here.
     """
 
+    @released
     def stream(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, kept = None, np.zeros((0, 4), np.int64)
         for batch in batches:

@@ -66,6 +66,44 @@ def test_mixing_stage(stages):
     assert sorted((r.doc_id, r.copies) for r in after) == sorted((r[0], c) for r, c in zip(rows, copies) if c)
 
 
+COLUMNS = {"language_id": "score", "line_dedup": "N_lines", "ngram_jaccard_join": "__nid", "benchmark_decontamination": "contamination"}
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_edges_of_stages(spark, name):
+    """Nulls in any column, equal rows, clashing names of extra columns, empty tables."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in docs.schema)
+    odd = docs.selectExpr(*columns.split(", ")).limit(2)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    for i, text in ((-1, "''"), (-2, "'12 34 ...'"), (-3, "'one short line'"), (-3, "'one short line'")):
+        other = [f.name for f in docs.schema if f.name not in ("doc_id", "text")]
+        row = spark.range(1).selectExpr(f"CAST({i} AS {kind}) AS doc_id", f"{text} AS text", *[f"CAST(NULL AS {docs.schema[c].dataType.simpleString()}) AS {c}" for c in other])
+        odd = odd.union(row.select(*docs.columns))
+    plain = docs.union(odd)
+    taken = corpus_pipeline.TAKEN[name]
+    extra = plain.selectExpr("*", *[f"concat('own ', coalesce(CAST(doc_id AS STRING), 'null')) AS {COLUMNS.get(name, c) if c.lower() == COLUMNS.get(name, '').lower() else c}" for c in taken], "1 AS `a.b`")
+    rows = stage(spark, extra, SF)
+    if name != "source_mixing":
+        assert rows.columns == extra.columns
+        names = {c.lower(): c for c in rows.columns}
+        got = [(r["doc_id"], *(r[names[c]] for c in taken)) for r in rows.collect()]
+    else:
+        assert {"domain", "n_tokens", "copies", "own_domain", "own_n_tokens", "own_copies"} <= set(rows.columns)
+        got = [(r["doc_id"], r["own_domain"], r["own_copies"], r["__full"]) for r in rows.collect()]
+        assert all(r["copies"] > 0 for r in rows.collect())
+    assert got and all(set(values) == {f"own {'null' if i is None else i}"} for i, *values in got)
+    want = stage(spark, plain, SF).select("doc_id", "text").collect()
+    assert sorted(map(str, want)) == sorted(str(r) for r in rows.select("doc_id", "text").collect())
+    ids = [r.doc_id for r in want]
+    stays = {"language_id": (0, 0), "line_dedup": (2, 2), "ngram_jaccard_join": (1, 1), "benchmark_decontamination": (2, 2)}
+    if name in stays:
+        assert (ids.count(None), ids.count(-3)) == stays[name] or name == "language_id"
+        assert (ids.count(-1) == 1) == (name != "language_id")
+    assert stage(spark, plain.where("false"), SF).count() == 0
+
+
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names and corpus_pipeline.ORACLE_SQL is None
