@@ -133,8 +133,9 @@ def regex_extract(
 ) -> Step:
     """Put the groups of the first match into headers, group i to the i-th name.
 
-    A group listed in ``optional_groups`` gives a null header when it matched nothing.
-    Extra groups or names are ignored; events without a match pass unchanged.
+    A group that took no part in the match gives a null header, one that matched the empty
+    text an empty one; listed in ``optional_groups`` it gives null for both. Extra groups or
+    names are ignored; events without a match pass unchanged.
     """
     if not pattern:
         raise ValueError("a pattern is required")
@@ -149,6 +150,11 @@ def regex_extract(
         raise ValueError("a serializer name must not be blank")
     pairs = pairs[:n_groups]
     optional = set(optional_groups)
+    may_be_idle = re.search(r"[?*|{]", pattern) is not None
+
+    def took_part(text: Column, i: int) -> Column:
+        # The first match again, kept by the atomic group; a reference to an idle group fails.
+        return text.rlike(rf"\A(?>(?s:.*?)(?:{pattern}))\{i}")
 
     def step(df: DataFrame) -> DataFrame:
         text = body_text()
@@ -157,6 +163,8 @@ def regex_extract(
             group = F.regexp_extract(text, pattern, i)
             if i in optional:
                 group = F.when(group != "", group)
+            elif may_be_idle:  # looked at only where the group is empty
+                group = F.when((group != "") | took_part(text, i), group)
             entries[name] = serialize(group)
         if not entries:
             return df

@@ -84,6 +84,20 @@ def test_regex_extract_null_for_missing_optional_group(spark):
     assert out.select(has_header("n")).first()[0]
 
 
+@pytest.mark.parametrize("pattern, body, want", [
+    (r"a(\d)?", "a", {"n": None}),
+    (r"a(\d*)", "a", {"n": ""}),
+    (r"a(\d)?", "xa a7", {"n": None}),  # of the first match, not of a later one
+    (r"(?i)^k=(x)|^v=(y?)", "V=", {"n": None, "m": ""}),
+    (r"(a)?(b)?c", "zz\nbc", {"n": None, "m": "b"}),
+    (r"(a*)(b)?", "", {"n": "", "m": None}),
+    (r"x(?=(y)?)", "x", {"n": None}),
+])
+def test_regex_extract_null_for_idle_groups(spark, pattern, body, want):
+    df = events(spark, ({}, body))
+    assert headers(df.transform(I.regex_extract(pattern, ["n", "m"]))) == [want]
+
+
 def test_regex_extract_dates(spark):
     df = events(spark, ({}, "2012-10-17 14:34:44,338"))
     step = I.regex_extract(r"^(\d\d\d\d-\d\d-\d\d\s\d\d:\d\d)", ["timestamp"])
