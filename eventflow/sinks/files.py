@@ -85,6 +85,9 @@ def event_bytes(df: DataFrame, serializer: str | Callable[[DataFrame], Column] =
     return F.coalesce(texts, F.lit(0)) + F.coalesce(F.octet_length("body"), F.lit(0))
 
 
+SLICE_ROWS = 8192  # events of a slice of the order, about
+
+
 def with_rolls(
     df: DataFrame,
     size: Column,
@@ -109,9 +112,11 @@ def with_rolls(
     tasks. They are made from keys and sizes alone: the order is cut into slices, each
     (bucket, slice) is summed by itself, and what lies before it comes from the slices'
     totals, one row each, so a bucket with most of the events spreads over as many tasks as
-    there are slices. What is left is the first key of each file; an event finds its file by
-    bisection of its bucket's, so headers and bodies are not shuffled here. Without an order
-    each task rolls its own files. An event larger than the limit ends its file.
+    there are slices. What is left is the first key of each file within each slice; an event
+    finds its file by bisection of its own slice's, so headers and bodies are not shuffled
+    here. Slices hold at most about ``SLICE_ROWS`` events, so that list stays short however
+    large a bucket grows. Without an order each task rolls its own files. An event larger than
+    the limit ends its file.
     """
     clock = F.col("headers")["timestamp"].cast("bigint") if roll_clock is None else roll_clock
     span = F.floor(clock / F.lit(1000 * roll_interval)) if roll_interval else F.lit(0)
@@ -134,7 +139,8 @@ def with_rolls(
         own = summed(own.withColumn("_slice", F.shiftright("_row", 33)), ["_row"])
         return own.withColumn(name, number([F.col("_slice")])).select(*df.columns, name)
     order = list(order_by)
-    bounds = slice_bounds(df, order, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    slices = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
+    bounds = slice_bounds(df, order, slices)
     keys = staged.select(
         by, "_span", slice_number(df, order, bounds).cast("bigint").alias("_slice"), size.alias("_size"),
         *[F.col(c) for c in order if c not in (by, "_span")],
@@ -152,14 +158,17 @@ def with_rolls(
     placed = summed(keys, order).join(totals, same).withColumns({
         "_bytes": F.col("_bytes") + F.col("_bytes0"), "_events": F.col("_events") + F.col("_events0"),
     })
-    firsts = placed.groupBy(by, "_span", number([]).alias(name)).agg(F.min(key_of(order)).alias("_key"))
+    # A file that runs over a slice's start has an entry in each slice it reaches.
+    firsts = placed.groupBy(*group, number([]).alias(name)).agg(F.min(key_of(order)).alias("_key"))
     table = stored(
-        firsts.groupBy(F.col(by).alias("_by"), F.col("_span").alias("_at")).agg(
+        firsts.groupBy(F.col(by).alias("_by"), F.col("_span").alias("_at"), F.col("_slice").alias("_in")).agg(
             F.sort_array(F.collect_list(F.struct("_key", name))).alias("_files")  # one entry a file
         ).withColumn("_keys", F.col("_files._key")), "rolls",
     )
     most = table.agg(F.max(F.size("_files"))).first()[0] or 0
-    joined = staged.join(table, F.col(by).eqNullSafe(F.col("_by")) & F.col("_span").eqNullSafe(F.col("_at")))
+    staged = staged.withColumn("_slice", slice_number(df, order, bounds).cast("bigint"))
+    joined = staged.join(table, F.col(by).eqNullSafe(F.col("_by")) & F.col("_span").eqNullSafe(F.col("_at"))
+                         & F.col("_slice").eqNullSafe(F.col("_in")))
     place = not_above(F.col("_keys"), key_of(order), most) - 1
     return joined.withColumn(name, F.get(F.col("_files"), place)[name]).select(*df.columns, name)
 

@@ -115,3 +115,17 @@ def test_index_without_a_copy(spark):
         text = plan._jdf.queryExecution().optimizedPlan().toString()
         assert "headers" in text and text.count("Scan ExistingRDD") + text.count("LogicalRDD") <= 1
         assert text.count("LogicalRDD") == df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD")
+
+
+def test_files_looked_up_by_slice(spark, monkeypatch):
+    """An event bisects the files of its own slice only, and files that run over a slice's
+    start still hold the right events."""
+    from eventflow.sinks import files
+
+    monkeypatch.setattr(files, "SLICE_ROWS", 50)
+    df = events(spark)
+    named = df.withColumn("bucket", F.col("headers")["k"])
+    out = with_rolls(named, event_bytes(df), roll_size=300, roll_count=9, roll_interval=60, order_by=["id"])
+    assert {r.id: r.roll for r in out.collect()} == expected(df.collect(), 300, 9, 60)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_in" in plan  # joined by (bucket, span, slice), not by the whole bucket
