@@ -89,6 +89,30 @@ def shingle_counts(docs: DataFrame, k: int) -> np.ndarray:
     return np.minimum(total, (1 << 31) - 1).astype(np.int32)
 
 
+def set_digests(docs: DataFrame, k: int) -> DataFrame:
+    """(nid, doc_id, n_shingles, digest) of each row; equal shingle sets have equal digests."""
+    import hashlib
+
+    @released
+    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, row, h, bounds in _shingle_batches(batches, "text", k):
+            rows = len(bounds) - 1
+            sizes, digests = np.zeros(rows, np.int32), []
+            for i in range(rows):
+                own = np.unique(h[bounds[i] : bounds[i + 1]])
+                sizes[i] = len(own)
+                digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("nid").slice(row, rows), batch.column("doc_id").slice(row, rows),
+                 pa.array(sizes), pa.array(digests, pa.binary())],
+                names=["nid", "doc_id", "n_shingles", "digest"],
+            )
+
+    return docs.select("doc_id", "nid", "text").mapInArrow(
+        digest, "nid long, doc_id long, n_shingles int, digest binary"
+    )
+
+
 def prefix_length(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     """Any set with ``percent`` or more in common shares one of so many rarest shingles."""
     return n - (percent * n + 99) // 100 + 1
@@ -352,6 +376,8 @@ def similar_groups(
     null id is never a component_id unless no other id is reachable. Other columns are
     ignored, whatever their names; an empty table gives no rows.
 
+    Rows with equal shingle sets are copies: one of them (the least key) takes part in the
+    join, the others are linked to it, so a large group of copies meets others only once.
     Shingles are ordered rarest first by counters over the whole corpus; each row sends the
     prefix any similar set must meet. A run of rows with the same prefix shingle is not
     compared pair by pair: each row first meets the run's first row, which holds the shingle
@@ -366,9 +392,20 @@ def similar_groups(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
         row_key(id_column, text_column).alias("nid"),
     )
+    # Rows with equal shingle sets link with each other and with the same other rows:
+    # one of them takes part in the join, the others are linked to it.
+    sets = stored(set_digests(base, k), "shingle-sets")
+    sizes = sets.select("nid", "doc_id", "n_shingles")
+    firsts = stored(
+        sets.where("n_shingles > 0").groupBy("digest").agg(F.min("nid").alias("first")), "set-firsts"
+    )
+    copies = (
+        sets.join(firsts, "digest").where("nid != first")
+        .select(F.col("first").alias("a"), F.col("nid").alias("b")).distinct()
+    )
+    base = base.join(_sent_if_few(firsts.select(F.col("first").alias("nid"))), "nid", "left_semi")
     counts = shingle_counts(base, k)
     found = stored(_members(_postings(base, counts, k, percent)), "members")
-    sizes = found.where("salt IS NULL").select("nid", "doc_id", F.col("size").alias("n_shingles"))
     runs = found.where("salt IS NOT NULL")
     members = runs.select("token", "nid", "size", "pos")
     met = runs.where("p_nid IS NOT NULL")
@@ -413,11 +450,11 @@ def similar_groups(
         if more is None:  # all that is left
             more, tried = _new_links(_cross_pairs(now, percent), tried, base, k, percent)
             if more is not None:
-                labels = components(links.union(more))
+                links = links.union(more)
             break
         links = links.union(more)
         labels = components(links)
-    return _with_least_id(sizes, labels)
+    return _with_least_id(sizes, components(links.union(copies)))
 
 
 def _new_links(

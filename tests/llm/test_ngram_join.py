@@ -105,3 +105,25 @@ def test_filters_lose_nothing():
             if 100 * common >= percent * union:
                 px, py = x[: prefix_length(len(x), percent)], y[: prefix_length(len(y), percent)]
                 assert len(np.intersect1d(px, py))
+
+
+def test_copies_join_once(spark, monkeypatch):
+    """Of rows with equal shingle sets only one meets the others; all keep their result."""
+    seen = []
+    postings = ngram_join._postings
+
+    def counted(docs, *args):
+        seen.append(docs.count())
+        return postings(docs, *args)
+
+    monkeypatch.setattr(ngram_join, "_postings", counted)
+    monkeypatch.setattr(ngram_join, "CROSS_PER_ROW", 0)
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(1, 5)))
+    shared = [word() for _ in range(60)]
+    a, b = " ".join(shared + ["x"] * 12), " ".join(shared[:50] + ["y"] * 12)
+    rows = [(i, a if i % 3 else a.upper()) for i in range(40)] + [(100 + i, b) for i in range(40)]
+    rows += hard_rows(3)[:30] + [(300, None), (301, "")]
+    check(spark, rows, 4, 85)
+    distinct = {frozenset(brute.shingle_set(r[1], 4)) for r in rows} - {frozenset()}
+    assert seen == [len(distinct)]
