@@ -17,6 +17,7 @@ from eventflow.schema import body_text, header, to_events
 from eventflow.session import shared_dir, tune
 from eventflow.sinks import files, tables
 from eventflow.sources.files import list_spool, read_spool, stream_spool
+from eventflow.sources.folders import read_whole_files
 from eventflow.sources.spool_stream import stream_spool_files
 from eventflow.sources.tail import read_tail
 from eventflow.streaming import delivery as D
@@ -197,7 +198,7 @@ def bucketed_by_interval(spark, sf):
         A.events(spark, sf), out, "%{event_type}", roll_interval=ROLL_SECONDS, roll_count=ROLL_EVENTS,
         order_by=["event_id"],
     )
-    lines = spark.read.schema("value string, bucket string, roll string").text(out, wholetext=True)
+    lines = read_whole_files(spark, out, ["bucket", "roll"])
     rows = F.split(F.rtrim(F.col("value"), F.lit("\n")), "\n")
     return lines.select(
         "bucket", "roll", F.lit(1).cast("bigint").alias("files"), F.size(rows).cast("bigint").alias("events"),

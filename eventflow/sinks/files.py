@@ -13,6 +13,7 @@ from eventflow.functions.text import dump, header_and_text
 from eventflow.operators.indexing import key_of, not_above, slice_bounds, slice_number
 from eventflow.schema import empty_body, empty_headers
 from eventflow.session import stored
+from eventflow.sinks.staged import can_stage, write_by_tasks
 
 SERIALIZERS = ("TEXT", "HEADER_AND_TEXT", "AVRO_EVENT")
 
@@ -38,11 +39,16 @@ def write_events(
     max_records_per_file: int = 0,
     append_newline: bool = True,
     mode: str = "append",
+    placed: bool = False,
 ) -> None:
     """Write events; the committer publishes files only when the job succeeds.
 
     AVRO_EVENT writes Avro files of event records; headers without a value are left out.
     A session that cannot write Avro raises. A function makes the line of each event.
+
+    ``placed`` says that the rows of each partition lie in one task, next to each other. Plain
+    text is then added by tasks alone (``write_by_tasks``) where they reach the folder: Spark's
+    writer sends the names of all partitions to the driver.
     """
     if serializer == "AVRO_EVENT":
         present = F.map_filter(F.col("headers"), lambda _, v: v.isNotNull())
@@ -62,6 +68,11 @@ def write_events(
                 .write
             )
         out, fmt = out.option("lineSep", "\n"), "text"
+        plain = not compression and not max_records_per_file and append_newline and mode == "append"
+        if placed and plain and can_stage(df.sparkSession, path):
+            lines = df.select(*partition_by, serialize_text(df, serializer).alias("value"))
+            write_by_tasks(lines, path, list(partition_by))
+            return
     if compression:
         out = out.option("compression", compression)
     if max_records_per_file:
@@ -86,6 +97,7 @@ def event_bytes(df: DataFrame, serializer: str | Callable[[DataFrame], Column] =
 
 
 SLICE_ROWS = 8192  # events of a slice of the order, about
+BROADCAST_FILES = 100_000  # listed files that the driver may hold to broadcast them
 
 
 def with_rolls(
@@ -114,9 +126,10 @@ def with_rolls(
     totals, one row each, so a bucket with most of the events spreads over as many tasks as
     there are slices. What is left is the first key of each file within each slice; an event
     finds its file by bisection of its own slice's, so headers and bodies are not shuffled
-    here. Slices hold at most about ``SLICE_ROWS`` events, so that list stays short however
-    large a bucket grows. Without an order each task rolls its own files. An event larger than
-    the limit ends its file.
+    here as long as the lists can be broadcast (at most ``BROADCAST_FILES`` files; more are
+    joined by sorting). Slices hold at most about ``SLICE_ROWS`` events, so that list stays short
+    however large a bucket grows. Without an order each task rolls its own files. An event larger
+    than the limit ends its file.
     """
     clock = F.col("headers")["timestamp"].cast("bigint") if roll_clock is None else roll_clock
     span = F.floor(clock / F.lit(1000 * roll_interval)) if roll_interval else F.lit(0)
@@ -140,9 +153,9 @@ def with_rolls(
         return own.withColumn(name, number([F.col("_slice")])).select(*df.columns, name)
     order = list(order_by)
     slices = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
-    bounds = slice_bounds(df, order, slices)
+    part = slice_number(df, order, slice_bounds(df, order, slices)).cast("bigint")
     keys = staged.select(
-        by, "_span", slice_number(df, order, bounds).cast("bigint").alias("_slice"), size.alias("_size"),
+        by, "_span", part.alias("_slice"), size.alias("_size"),
         *[F.col(c) for c in order if c not in (by, "_span")],
     )
     # One row an event, of its keys: written once, for the totals and the sums.
@@ -165,11 +178,13 @@ def with_rolls(
             F.sort_array(F.collect_list(F.struct("_key", name))).alias("_files")  # one entry a file
         ).withColumn("_keys", F.col("_files._key")), "rolls",
     )
-    most = table.agg(F.max(F.size("_files"))).first()[0] or 0
-    staged = staged.withColumn("_slice", slice_number(df, order, bounds).cast("bigint"))
+    most, listed = table.agg(F.max(F.size("_files")), F.sum(F.size("_files"))).first()
+    if (listed or 0) > BROADCAST_FILES:
+        table = table.hint("merge")  # its size on disk, which Spark goes by, is a small part of that in memory
+    staged = staged.withColumn("_slice", part)
     joined = staged.join(table, F.col(by).eqNullSafe(F.col("_by")) & F.col("_span").eqNullSafe(F.col("_at"))
                          & F.col("_slice").eqNullSafe(F.col("_in")))
-    place = not_above(F.col("_keys"), key_of(order), most) - 1
+    place = not_above(F.col("_keys"), key_of(order), most or 0) - 1
     return joined.withColumn(name, F.get(F.col("_files"), place)[name]).select(*df.columns, name)
 
 
@@ -210,7 +225,9 @@ def write_bucketed(
             roll_interval=roll_interval, roll_clock=roll_clock, order_by=order_by,
         )
         rolled = rolled.repartition("bucket", "roll").sortWithinPartitions("bucket", "roll", *order_by)
-        write_events(rolled, path, serializer, partition_by=["bucket", "roll"], compression=compression, mode=mode)
+        write_events(
+            rolled, path, serializer, partition_by=["bucket", "roll"], compression=compression, mode=mode, placed=True
+        )
         return
     if files_per_bucket:
         # By the row's place, not its content: a hot bucket may hold equal events.
